@@ -15,32 +15,46 @@ per slot of the covered time span, and only those rows go through a window.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cartpulse.functions.timebuckets import interval, micros_of, slot_of
+from cartpulse.functions.timebuckets import interval, micros_of, slot_of, stream_key
 from cartpulse.operators.asof import first_at_or_after
 from cartpulse.schema import ABANDONMENT_TIMEOUT, LATEST_SIGNALS
 
-_ACTIONS = ("cart", "remove_from_cart", "purchase")
+ACTIONS = ("cart", "remove_from_cart", "purchase")
 PAIR = ("session_id", "product_id")
 
 
-def last_actions(events: DataFrame, timeout: str = ABANDONMENT_TIMEOUT) -> DataFrame:
-    """Per pair and slot: the last action, and when the pair acted next."""
+def last_cart_columns() -> list[Column]:
+    """Aggregates that tell whether a group of actions ends with a cart: the time of its
+    last cart, and the stream position of its last cart and of its last other action.
+    ``seq`` settles actions with the same time, in stream order."""
+    cart = F.col("event_type") == "cart"
+    position = stream_key(F.col("event_time"), F.col("seq"))
+    return [
+        F.max(F.when(cart, F.col("event_time"))).alias("cart_time"),
+        F.max(F.when(cart, position)).alias("cart_position"),
+        F.max(F.when(~cart, position)).alias("other_position"),
+    ]
+
+
+def ends_with_cart() -> Column:
+    return F.col("cart_position").isNotNull() & (
+        F.col("other_position").isNull() | (F.col("cart_position") > F.col("other_position"))
+    )
+
+
+def last_carts(events: DataFrame, timeout: str = ABANDONMENT_TIMEOUT) -> DataFrame:
+    """Carts that end their slot, and when their pair acted next."""
     at = F.col("event_time")
     slots = (
-        events.filter(F.col("event_type").isin(*_ACTIONS))
+        events.filter(F.col("event_type").isin(*ACTIONS))
         .groupBy(*PAIR, slot_of(at, micros_of(timeout)).alias("slot"))
-        .agg(
-            F.min(at).alias("first_time"),
-            # seq settles actions with the same time, in stream order
-            F.max(F.struct(at, F.col("seq"), F.col("event_type"))).alias("last"),
-        )
+        .agg(F.min(at).alias("first_time"), *last_cart_columns())
     )
     following = F.lead("first_time").over(Window.partitionBy(*PAIR).orderBy("slot"))
-    return slots.select(
-        *PAIR,
-        F.col("last.event_type").alias("event_type"),
-        F.col("last.event_time").alias("cart_time"),
-        following.alias("next_time"),
+    return (
+        slots.select(*PAIR, "cart_time", ends_with_cart().alias("is_cart"), following.alias("next_time"))
+        .filter("is_cart")
+        .drop("is_cart")
     )
 
 
@@ -60,11 +74,11 @@ def abandoned_carts(
     past the last event by one timeout, so that every cart left open is reported; those
     are detected at the pushed clock.
     """
-    carts = last_actions(events, timeout).filter("event_type = 'cart'")
     deadline = F.col("cart_time") + interval(timeout)
     clock = _clock(events, timeout, flush)
     overdue = (
-        carts.withColumn("deadline", deadline)
+        last_carts(events, timeout)
+        .withColumn("deadline", deadline)
         .filter(F.col("next_time").isNull() | (F.col("next_time") >= F.col("deadline")))
         .filter(F.col("deadline") <= clock)
         .select(*PAIR, "cart_time", "deadline")
@@ -81,8 +95,8 @@ def pending_carts(
 ) -> DataFrame:
     """Carts nothing has followed yet and whose deadline is still ahead of the clock."""
     return (
-        last_actions(events, timeout)
-        .filter(F.col("next_time").isNull() & (F.col("event_type") == "cart"))
+        last_carts(events, timeout)
+        .filter(F.col("next_time").isNull())
         .withColumn("deadline", F.col("cart_time") + interval(timeout))
         .filter(F.col("deadline") > _clock(events, timeout, flush))
         .select(*PAIR, "cart_time", "deadline")

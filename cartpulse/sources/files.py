@@ -21,43 +21,39 @@ def with_source_rows(raw: DataFrame, first_row: int) -> DataFrame:
     """Adds ``source_file``, ``source_row`` (number in its file, counted from
     ``first_row``) and ``seq`` (0, 1, 2, … over all files in path order).
 
-    Rows keep their place inside a file split, so it is enough to count the rows of each
-    split; the rows themselves are not shuffled. The counting pass runs at once and is
-    stored as a small table, one row per file block. Being stored, its size is known, so
-    Spark broadcasts it while it is below the broadcast limit and shuffles beyond. Both
-    passes must cut the files alike: a split that was not counted fails the job.
+    A row's place inside its file split is known while the split is read, so it is enough
+    to count the rows of each split; the rows are not shuffled. The rows are first copied
+    to the shared folder together with their place: how Spark cuts and groups files may
+    change between two reads, and a copy also spares the second parse. The table of
+    splits, one row per file block, is stored too; with its size known, Spark broadcasts
+    it below the broadcast limit and shuffles beyond.
     """
     spark = raw.sparkSession
-    located = raw.select(
+    rows_path, splits_path = scratch_path(spark, "source-rows"), scratch_path(spark, "splits")
+    raw.select(
         "*",
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_place"),
-    )
-    path = scratch_path(spark, "splits")
-    located.groupBy("source_file", "_block").agg(
+    ).write.parquet(rows_path)
+    rows = spark.read.parquet(rows_path)
+    rows.groupBy(F.col("source_file").alias("_file"), F.col("_block").alias("_start")).agg(
         F.min("_place").alias("_first"), F.count("*").alias("_rows")
-    ).write.parquet(path)
+    ).write.parquet(splits_path)
     before = (Window.unboundedPreceding, -1)
-    in_file = Window.partitionBy("source_file").orderBy("_block").rowsBetween(*before)
-    overall = Window.orderBy("source_file", "_block").rowsBetween(*before)
-    splits = spark.read.parquet(path).select(
-        F.col("source_file").alias("_file"),
-        F.col("_block").alias("_start"),
+    in_file = Window.partitionBy("_file").orderBy("_start").rowsBetween(*before)
+    overall = Window.orderBy("_file", "_start").rowsBetween(*before)
+    splits = spark.read.parquet(splits_path).select(
+        "_file",
+        "_start",
         "_first",
         F.coalesce(F.sum("_rows").over(in_file), F.lit(0)).alias("_in_file"),
         F.coalesce(F.sum("_rows").over(overall), F.lit(0)).alias("_overall"),
     )
-    known = F.coalesce(
-        F.col("_first"), F.raise_error(F.lit("file splits changed between two reads")).cast("bigint")
-    )
-    place = F.col("_place") - known
+    place = F.col("_place") - F.col("_first")
+    same_split = (F.col("source_file") == F.col("_file")) & (F.col("_block") == F.col("_start"))
     return (
-        located.join(
-            splits,
-            (F.col("source_file") == F.col("_file")) & (F.col("_block") == F.col("_start")),
-            "left",
-        )
+        rows.join(splits, same_split)
         .withColumn("source_row", place + F.col("_in_file") + first_row)
         .withColumn("seq", place + F.col("_overall"))
         .drop("_block", "_place", "_file", "_start", "_first", "_in_file", "_overall")
@@ -65,14 +61,19 @@ def with_source_rows(raw: DataFrame, first_row: int) -> DataFrame:
 
 
 def read_shop_csv(
-    spark: SparkSession, paths: str | list[str], limit: int | None = None, multi_line: bool = False
+    spark: SparkSession,
+    paths: str | list[str],
+    limit: int | None = None,
+    numbered: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Interpreted rows of shop CSV files (plain or ``.gz``), columns found by header name.
 
     All columns are read as text and judged by the cleaning rules. ``limit`` counts source
-    rows, rejects included. Gzip files cannot be split: one task reads one file, so
-    deliver many of them, or repartition. ``multi_line`` allows line breaks inside quotes
-    at the price of unsplit files.
+    rows, rejects included. ``numbered=False`` leaves out row numbers and ``seq`` and reads
+    the files in a single pass. Gzip files cannot be split: one task reads one file, so
+    deliver many of them. ``multi_line`` allows line breaks inside quotes at the price of
+    unsplit files.
     """
     raw = (
         spark.read.option("header", True)
@@ -82,6 +83,8 @@ def read_shop_csv(
         .csv(paths)
     )
     require_columns(raw.columns)
+    if not numbered and limit is None:
+        return interpret_shop_rows(raw)
     rows = with_source_rows(raw, first_row=2)
     if limit is not None:
         rows = rows.filter(F.col("seq") < limit)
@@ -98,7 +101,7 @@ def read_payload_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame
 
 
 def read_history(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Interpreted JSON history for the batch baseline, without row numbers: one pass."""
+    """Interpreted JSON history for the batch baseline: one pass, no row numbers."""
     text = T.StructType([*schema.JSON_TEXT_SCHEMA.fields, _CORRUPT])
     return interpret_payloads(spark.read.schema(text).json(paths))
 

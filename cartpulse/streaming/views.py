@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cartpulse.functions.metrics import current_dropoff, stage_counts, trend_score
 from cartpulse.functions.timebuckets import expires_at, interval, latency_ms, micros_of
+from cartpulse.operators.abandonment import ACTIONS, PAIR, ends_with_cart, last_cart_columns
 from cartpulse.schema import ABANDONMENT_TIMEOUT, BUCKET, RETENTION, WINDOW
 
 _KINDS = ("view", "cart", "purchase")
@@ -93,19 +94,13 @@ def abandoned_carts(events: DataFrame, timeout: str = ABANDONMENT_TIMEOUT) -> Da
     # watermark: views are not actions, but they do move the clock.
     action = F.when(
         F.col("event_time").isNotNull(),
-        F.col("event_type").isin("cart", "remove_from_cart", "purchase"),
+        F.col("event_type").isin(*ACTIONS),
     )
     gap = f"{micros_of(timeout) - 1} microseconds"
-    last = F.max(F.struct("event_time", "seq", "event_type")).alias("last")
     return (
         events.filter(action)
-        .groupBy(F.session_window("event_time", gap), "session_id", "product_id")
-        .agg(last)
-        .filter(F.col("last.event_type") == "cart")
-        .select(
-            "session_id",
-            "product_id",
-            F.col("last.event_time").alias("cart_time"),
-            (F.col("last.event_time") + interval(timeout)).alias("deadline"),
-        )
+        .groupBy(F.session_window("event_time", gap), *PAIR)
+        .agg(*last_cart_columns())
+        .filter(ends_with_cart())
+        .select(*PAIR, "cart_time", (F.col("cart_time") + interval(timeout)).alias("deadline"))
     )
