@@ -137,9 +137,11 @@ def read_baseline(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema.BASELINE_SCHEMA).parquet(path)
 
 
-def read_baseline_json(spark: SparkSession, path: str) -> DataFrame:
-    """Baseline as JSON, one array or one row per line; missing columns become null."""
-    return spark.read.schema(schema.BASELINE_SCHEMA).option("multiLine", True).json(path)
+def read_baseline_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Baseline as one JSON array, or with ``lines`` one row per line; missing columns
+    become null. An array file is read by a single task, so prefer lines."""
+    reader = spark.read.schema(schema.BASELINE_SCHEMA).option("multiLine", not lines)
+    return reader.json(path)
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:

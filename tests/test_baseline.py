@@ -110,8 +110,7 @@ def test_written_baseline_reads_back(spark, eight, tmp_path):
     result = baseline.baseline(eight)
     tables.write_baseline(result, out, json_files=1)
     assert files.read_baseline(spark, f"{out}/parquet").exceptAll(result).count() == 0
-    assert files.read_baseline_json(spark, f"{out}/json").count() >= 1
-    lines = spark.read.schema(schema.BASELINE_SCHEMA).json(f"{out}/json")
+    lines = files.read_baseline_json(spark, f"{out}/json", lines=True)
     assert lines.exceptAll(result).count() == 0
     assert len(list((tmp_path / "base" / "json").glob("part-*"))) == 1
     text = spark.read.text(f"{out}/json").first()[0]
