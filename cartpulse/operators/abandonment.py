@@ -63,33 +63,41 @@ def _clock(events: DataFrame, timeout: str, flush: bool) -> Column:
     return events.agg((now + interval(timeout) if flush else now).alias("clock")).scalar()
 
 
-def abandoned_carts(
+def overdue_carts(
     events: DataFrame, timeout: str = ABANDONMENT_TIMEOUT, flush: bool = False
 ) -> DataFrame:
-    """One signal per abandoned cart: ``session_id, product_id, cart_time, deadline,
-    detected_at``.
+    """One row per abandoned cart: ``session_id, product_id, cart_time, deadline``.
 
-    ``detected_at`` is the first event of any kind at or after the deadline, the moment
-    a processor that only moves with the events would notice. ``flush`` pushes the clock
-    past the last event by one timeout, so that every cart left open is reported; those
-    are detected at the pushed clock.
-    """
-    deadline = F.col("cart_time") + interval(timeout)
-    clock = _clock(events, timeout, flush)
-    overdue = (
+    ``flush`` pushes the clock past the last event by one timeout, so that every cart left
+    open counts."""
+    return (
         last_carts(events, timeout)
-        .withColumn("deadline", deadline)
+        .withColumn("deadline", F.col("cart_time") + interval(timeout))
         .filter(F.col("next_time").isNull() | (F.col("next_time") >= F.col("deadline")))
-        .filter(F.col("deadline") <= clock)
+        .filter(F.col("deadline") <= _clock(events, timeout, flush))
         .select(*PAIR, "cart_time", "deadline")
     )
+
+
+def with_detection(overdue: DataFrame, events: DataFrame, end: Column) -> DataFrame:
+    """Adds ``detected_at``: the first event of any kind at or after the deadline, the
+    moment a processor that only moves with the events would notice, or the clock ``end``
+    where no event follows."""
     seen = first_at_or_after(events.select("event_time"), overdue.select("deadline"))
-    found = F.col("found") if not flush else F.coalesce("found", clock)
+    found = F.coalesce("found", end)
     return overdue.join(seen, F.col("deadline") == F.col("probe")).select(
         *PAIR, "cart_time", "deadline", found.alias("detected_at")
     )
 
 
+def abandoned_carts(
+    events: DataFrame, timeout: str = ABANDONMENT_TIMEOUT, flush: bool = False
+) -> DataFrame:
+    """One signal per abandoned cart, with its detection time."""
+    overdue = overdue_carts(events, timeout, flush)
+    return with_detection(overdue, events, _clock(events, timeout, flush))
+
+
 def pending_carts(
     events: DataFrame, timeout: str = ABANDONMENT_TIMEOUT, flush: bool = False
 ) -> DataFrame:
@@ -103,8 +111,21 @@ def pending_carts(
     )
 
 
-def latest_signals(signals: DataFrame, n: int = LATEST_SIGNALS) -> DataFrame:
-    """The last ``n`` signals, oldest first. Signals detected together are ordered by
-    cart time, session and product."""
-    order = ("detected_at", "cart_time", *PAIR)
-    return signals.orderBy(*[F.desc(c) for c in order]).limit(n).orderBy(*order)
+def latest_abandoned_carts(
+    events: DataFrame,
+    timeout: str = ABANDONMENT_TIMEOUT,
+    n: int = LATEST_SIGNALS,
+    flush: bool = False,
+) -> DataFrame:
+    """The last ``n`` signals, oldest first; signals detected together are ordered by cart
+    time, session and product.
+
+    A later deadline is never detected earlier, so ordering by cart time is the same. The
+    ``n`` carts are chosen first, and only the events after the earliest of their deadlines
+    are searched.
+    """
+    order = ("cart_time", *PAIR)
+    latest = overdue_carts(events, timeout, flush).orderBy(*[F.desc(c) for c in order]).limit(n)
+    first_deadline = latest.agg(F.min("deadline")).scalar()
+    tail = events.filter(F.col("event_time") >= first_deadline)
+    return with_detection(latest, tail, _clock(events, timeout, flush)).orderBy(*order)

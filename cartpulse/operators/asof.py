@@ -20,11 +20,13 @@ def first_at_or_after(points: DataFrame, probes: DataFrame) -> DataFrame:
     as one.
     """
     point, probe = points.columns[0], probes.columns[0]
+    second = slot_of(F.col("t"), _SECOND).alias("second")
+    at_points, at_probes = points.select(F.col(point).alias("t")), probes.select(F.col(probe).alias("t"))
     marks = (
-        points.select(F.col(point).alias("t"), F.lit(True).alias("is_point"), F.lit(False).alias("is_probe"))
-        .unionAll(probes.select(F.col(probe).alias("t"), F.lit(False), F.lit(True)))
-        .groupBy(slot_of(F.col("t"), _SECOND).alias("second"), "t")
-        .agg(F.max("is_point").alias("is_point"), F.max("is_probe").alias("is_probe"))
+        at_points.select("t", F.lit(True).alias("is_point"))
+        .unionAll(at_probes.select("t", F.lit(False)))
+        .groupBy(second, "t")
+        .agg(F.max("is_point").alias("is_point"), (~F.min("is_point")).alias("is_probe"))
     )
     # Descending, so that "at or after" is the running frame and stays linear.
     inside = Window.partitionBy("second").orderBy(F.desc("t")).rowsBetween(
@@ -34,15 +36,19 @@ def first_at_or_after(points: DataFrame, probes: DataFrame) -> DataFrame:
         "here", F.min(F.when(F.col("is_point"), F.col("t"))).over(inside)
     ).filter("is_probe")
 
-    # First point after each second that holds a point or a probe.
+    # First point after each second that holds a point or a probe. Reduced straight from
+    # the input: the seconds are far fewer than the distinct times.
     later_seconds = Window.partitionBy("day").orderBy(F.desc("second")).rowsBetween(
         Window.unboundedPreceding, -1
     )
     later_days = Window.orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, -1)
+    day = whole_div(F.col("second") - F.pmod("second", F.lit(_DAY_SECONDS)), _DAY_SECONDS)
     seconds = (
-        marks.groupBy("second")
-        .agg(F.min(F.when(F.col("is_point"), F.col("t"))).alias("first_point"))
-        .withColumn("day", whole_div(F.col("second") - F.pmod("second", F.lit(_DAY_SECONDS)), _DAY_SECONDS))
+        at_points.select(second, "t")
+        .unionAll(at_probes.select(second, F.lit(None).cast("timestamp")))
+        .groupBy("second")
+        .agg(F.min("t").alias("first_point"))
+        .withColumn("day", day)
     )
     days = (
         seconds.groupBy("day")

@@ -46,7 +46,7 @@ def snapshot_document(
     )
     totals = products.agg(F.map_filter(counted, lambda _, v: v > 0)).scalar()
     stages = trailing.funnel(trailing.session_flags(recent))
-    signals = abandonment.abandoned_carts(events, timeout, flush)
+    overdue = abandonment.overdue_carts(events, timeout, flush)
     open_carts = abandonment.pending_carts(events, timeout, flush)
     return (
         events.agg(
@@ -66,10 +66,10 @@ def snapshot_document(
                     F.first(F.struct("active_sessions", F.struct(*_FUNNEL).alias("funnel")))
                 ).scalar(),
                 "pending_carts": open_carts.agg(F.count("*")).scalar(),
-                "abandoned_cart_signals_total": signals.agg(F.count("*")).scalar(),
+                "abandoned_cart_signals_total": overdue.agg(F.count("*")).scalar(),
                 "latest_abandoned_carts": _listed(
-                    abandonment.latest_signals(signals), _SIGNAL,
-                    [F.col(c) for c in ("detected_at", "cart_time", "session_id", "product_id")],
+                    abandonment.latest_abandoned_carts(events, timeout, flush=flush), _SIGNAL,
+                    [F.col(c) for c in ("cart_time", "session_id", "product_id")],
                 ),
             }
         )

@@ -324,6 +324,7 @@ def oracle_sql() -> dict[str, str]:
         "abandoned_carts": f"WITH {long_signals} SELECT {signal_columns} FROM signals",
         "abandoned_carts_15m": f"WITH {_EVENTS}, {_signals('15 minutes')} SELECT {signal_columns} FROM signals",
         "abandoned_carts_flush": f"WITH {_EVENTS}, {_signals('5 days', flush=True)} SELECT {signal_columns} FROM signals",
+        "overdue_carts": f"WITH {long_signals} SELECT session_id, product_id, cart_time, deadline FROM signals",
         "pending_carts": f"WITH {long_signals} SELECT * FROM pending",
         "latest_signals": f"WITH {long_signals} {_LATEST}",
         "latency_log_parse": f"""WITH {_EVENTS} SELECT experiment_id, CAST(round(price * 1000) AS BIGINT) AS latency_ms

@@ -381,7 +381,11 @@ def pending_carts(spark, sf_dir):
 
 
 def latest_signals(spark, sf_dir):
-    return abandonment.latest_signals(abandoned_carts(spark, sf_dir))
+    return abandonment.latest_abandoned_carts(sample.shop_events(spark, sf_dir), LONG_TIMEOUT)
+
+
+def overdue_carts(spark, sf_dir):
+    return abandonment.overdue_carts(sample.shop_events(spark, sf_dir), LONG_TIMEOUT)
 
 
 # --- load, latency and scaling tables -------------------------------------------------
@@ -548,7 +552,7 @@ _QUERIES = (
     serving_top, serving_candidates, threshold_sensitivity, trending_now, snapshot_document,
     serving_document, minute_product_buckets, minute_health, bucket_keys, health_keys,
     five_bucket_view, day_bucket_view, hopping_view, retained_buckets, abandoned_carts,
-    abandoned_carts_15m, abandoned_carts_flush, pending_carts, latest_signals, latency_log_parse,
+    abandoned_carts_15m, abandoned_carts_flush, overdue_carts, pending_carts, latest_signals, latency_log_parse,
     latency_stats, backlog_age, largest_backlog_age, load_run_throughput, load_run_summary,
     load_run_csv, throughput_over_time, worker_speedup, scaling_changes, scaling_observed,
     stream_minute_buckets, stream_minute_health, stream_hopping_trend, stream_funnel,

@@ -172,9 +172,22 @@ def test_hot_pair_is_reduced_before_the_window(spark):
 
 def test_latest_signals_are_the_last_ten_in_order(spark):
     rows = [(i, "cart", str(i), "s") for i in range(15)] + [(100, "view", "z", "z")]
-    signals = abandonment.abandoned_carts(events_of(spark, rows))
-    latest = abandonment.latest_signals(signals).collect()
+    latest = abandonment.latest_abandoned_carts(events_of(spark, rows)).collect()
     assert [r.product_id for r in latest] == [str(i) for i in range(5, 15)]
+    assert {r.detected_at for r in latest} == {naive(100)}
+
+
+def test_latest_signals_equal_the_end_of_all_signals(spark):
+    rng = random.Random(8)
+    rows, clock = [], 0
+    for _ in range(400):
+        clock += rng.choice((0, 0, 1, 6))
+        rows.append((clock, rng.choice(("view", "cart", "purchase")), rng.choice("pqr"), rng.choice("abcd")))
+    events = events_of(spark, rows)
+    order = ("detected_at", "cart_time", "session_id", "product_id")
+    for flush in (False, True):
+        signals = abandonment.abandoned_carts(events, "5 minutes", flush).orderBy(*order).collect()
+        assert abandonment.latest_abandoned_carts(events, "5 minutes", 7, flush).collect() == signals[-7:]
 
 
 def test_forward_lookup_equals_brute_force(spark):
