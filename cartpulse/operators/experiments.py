@@ -1,6 +1,6 @@
 """Analysis of load runs, worker trials, latency logs and cluster samples."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cartpulse.functions.metrics import round_exact
 from cartpulse.functions.timebuckets import latency_ms, minute_of
@@ -21,29 +21,57 @@ def parse_latency_log(log: DataFrame, message: str = "message", experiment_id: s
     )
 
 
-def latency_statistics(records: DataFrame, *groups: str) -> DataFrame:
-    """Count, mean, median, 95th percentile and maximum of ``latency_ms`` per group.
+def percentiles(
+    rows: DataFrame, groups: list[str], value: str, points: dict[str, float], *others: Column
+) -> DataFrame:
+    """Exact interpolated percentiles of the known values per group, named by ``points``.
 
-    Exact: the records are first counted per distinct latency, so what meets in one task
-    is bounded by the number of distinct millisecond values, not by the records.
+    Rows are first counted per distinct value, which combines before the exchange; a
+    window then walks over the distinct values of a group and can spill. ``others`` are
+    further aggregates over the counted rows, which carry the column ``rows``.
     """
-    value = F.col("latency_ms")
-    counted = records.groupBy(*groups, "latency_ms").agg(F.count("*").alias("records"))
-    percentiles = F.call_function(
-        "percentile", value, F.array(F.lit(0.5), F.lit(0.95)), F.col("records")
-    )
-    return (
-        counted.groupBy(*groups)
-        .agg(
-            F.sum("records").alias("processed"),
-            (F.sum(value * F.col("records")) / F.sum("records")).alias("avg_latency_ms"),
-            percentiles.alias("p"),
-            F.max(value).alias("max_latency_ms"),
-        )
-        .withColumns({"p50_latency_ms": F.col("p")[0], "p95_latency_ms": F.col("p")[1]})
-        .drop("p")
+    known = rows.filter(F.col(value).isNotNull())
+    counted = known.groupBy(*groups, value).agg(F.count("*").alias("rows"))
+    group = Window.partitionBy(*groups)
+    upto = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.withColumns(
+        {"_end": F.sum("rows").over(upto), "_last": F.sum("rows").over(group) - 1}
     )
 
+    def at(rank: Column) -> Column:
+        here = (rank < F.col("_end")) & (rank >= F.col("_end") - F.col("rows"))
+        return F.max(F.when(here, F.col(value)))
+
+    found, results = [], []
+    for name, share in points.items():
+        rank = F.lit(share) * F.col("_last")
+        below, above = F.floor(rank), F.ceil(rank)
+        found += [
+            at(below).alias(f"_{name}_below"),
+            at(above).alias(f"_{name}_above"),
+            F.max(above - rank).alias(f"_{name}_to_above"),
+            F.max(rank - below).alias(f"_{name}_from_below"),
+        ]
+        low, high = F.col(f"_{name}_below").cast("double"), F.col(f"_{name}_above").cast("double")
+        mixed = F.col(f"_{name}_to_above") * low + F.col(f"_{name}_from_below") * high
+        results.append(F.when(F.col(f"_{name}_from_below") == 0, low).otherwise(mixed).alias(name))
+    totals = ranked.groupBy(*groups).agg(*found, F.sum("rows").alias("rows"), *others)
+    shown = [c for c in totals.columns if not c.startswith("_")]
+    return totals.select(*shown, *results)
+
+
+def latency_statistics(records: DataFrame, *groups: str) -> DataFrame:
+    """Count, mean, median, 95th percentile and maximum of ``latency_ms`` per group."""
+    value = F.col("latency_ms")
+    return percentiles(
+        records,
+        list(groups),
+        "latency_ms",
+        {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95},
+        (F.sum(value * F.col("rows")) / F.sum("rows")).alias("avg_latency_ms"),
+        F.max(value).alias("max_latency_ms"),
+    ).withColumnRenamed("rows", "processed")
+
 
 def backlog_age(events: DataFrame) -> DataFrame:
     """Largest processing delay per minute of processing, in milliseconds."""
@@ -80,15 +108,12 @@ def complete_runs(runs: DataFrame) -> DataFrame:
 
 def load_run_summary(runs: DataFrame) -> DataFrame:
     """Medians per target rate over the complete runs."""
-    return (
-        complete_runs(runs)
-        .groupBy("target_rate_eps")
-        .agg(
-            F.count("*").alias("complete_runs"),
-            F.median("p50_latency_ms").alias("p50_latency_ms"),
-            F.median("p95_latency_ms").alias("p95_latency_ms"),
-            F.median("producer_throughput_eps").alias("producer_throughput_eps"),
-        )
+    figures = ["p50_latency_ms", "p95_latency_ms", "producer_throughput_eps"]
+    long = complete_runs(runs).unpivot("target_rate_eps", figures, "figure", "value")
+    medians = percentiles(long, ["target_rate_eps", "figure"], "value", {"median": 0.5})
+    return medians.groupBy("target_rate_eps").agg(
+        F.max("rows").alias("complete_runs"),
+        *[F.max(F.when(F.col("figure") == f, F.col("median"))).alias(f) for f in figures],
     )
 
 
@@ -110,13 +135,12 @@ def worker_speedup(trials: DataFrame) -> DataFrame:
     smallest count. Trials without a status count as completed. With fewer than two
     worker counts there is no curve and the result is empty."""
     status = F.upper(F.coalesce("status", F.lit("COMPLETED"))) if "status" in trials.columns else F.lit("COMPLETED")
-    medians = (
-        trials.filter(
-            (status == "COMPLETED") & (F.col("worker_count") > 0) & (F.col("duration_seconds") > 0)
-        )
-        .groupBy("worker_count")
-        .agg(F.median("duration_seconds").alias("median_seconds"), F.count("*").alias("trials"))
+    completed = trials.filter(
+        (status == "COMPLETED") & (F.col("worker_count") > 0) & (F.col("duration_seconds") > 0)
     )
+    medians = percentiles(
+        completed, ["worker_count"], "duration_seconds", {"median_seconds": 0.5}
+    ).withColumnRenamed("rows", "trials")
     smallest = medians.agg(
         F.min(F.struct("worker_count", "median_seconds")).alias("base")
     ).scalar()

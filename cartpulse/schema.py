@@ -27,7 +27,7 @@ TOP_N = 5
 LATEST_SIGNALS = 10
 MILLISECOND_EPOCH_FLOOR = 10_000_000_000  # digits above this are milliseconds
 UNLABELLED = "unlabelled"
-LATENCY_METRIC = "clickstream_processing_latency"
+LATENCY_METRIC = "processing_latency"
 DEFINITION = (
     "Unusually trending means current score is at least 2x its historical five-minute average."
 )

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every operator relies on. UTC keeps window grids on the UTC
 # epoch; the rest lets AQE size reducers, split skewed join partitions and pick
@@ -60,3 +60,12 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for one intermediate table."""
     return f"{shared_folder(spark)}/cartpulse/{name}-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared folder and read back: what follows neither
+    repeats the work behind them nor loses it with an executor, and later filters can
+    skip row groups."""
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from cartpulse import schema
 from cartpulse.operators.normalise import interpret_payloads, interpret_shop_rows
-from cartpulse.session import scratch_path
+from cartpulse.session import stored
 
 _CORRUPT = T.StructField("_corrupt_record", T.StringType())
 
@@ -28,22 +28,25 @@ def with_source_rows(raw: DataFrame, first_row: int) -> DataFrame:
     splits, one row per file block, is stored too; with its size known, Spark broadcasts
     it below the broadcast limit and shuffles beyond.
     """
-    spark = raw.sparkSession
-    rows_path, splits_path = scratch_path(spark, "source-rows"), scratch_path(spark, "splits")
-    raw.select(
-        "*",
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_place"),
-    ).write.parquet(rows_path)
-    rows = spark.read.parquet(rows_path)
-    rows.groupBy(F.col("source_file").alias("_file"), F.col("_block").alias("_start")).agg(
-        F.min("_place").alias("_first"), F.count("*").alias("_rows")
-    ).write.parquet(splits_path)
+    rows = stored(
+        raw.select(
+            "*",
+            F.col("_metadata.file_path").alias("source_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_place"),
+        ),
+        "source-rows",
+    )
+    counts = stored(
+        rows.groupBy(F.col("source_file").alias("_file"), F.col("_block").alias("_start")).agg(
+            F.min("_place").alias("_first"), F.count("*").alias("_rows")
+        ),
+        "splits",
+    )
     before = (Window.unboundedPreceding, -1)
     in_file = Window.partitionBy("_file").orderBy("_start").rowsBetween(*before)
     overall = Window.orderBy("_file", "_start").rowsBetween(*before)
-    splits = spark.read.parquet(splits_path).select(
+    splits = counts.select(
         "_file",
         "_start",
         "_first",

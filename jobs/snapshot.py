@@ -10,7 +10,7 @@ import argparse
 from cartpulse.operators.normalise import accepted
 from cartpulse.operators.ordered import require_ordered
 from cartpulse.plans.documents import snapshot_document
-from cartpulse.session import build_session
+from cartpulse.session import build_session, stored
 from cartpulse.sinks.tables import document_json, write_document
 from cartpulse.sources.files import read_payload_lines
 
@@ -29,8 +29,9 @@ def main(argv: list[str] | None = None) -> None:
     events = accepted(read_payload_lines(spark, args.input), on_invalid="fail")
     if args.check_order:
         events = require_ordered(events)
+    # The document looks at the events from several sides; parse and check them once.
     document = snapshot_document(
-        events, f"{args.window_minutes} minutes", f"{args.abandonment_minutes} minutes",
+        stored(events, "events"), f"{args.window_minutes} minutes", f"{args.abandonment_minutes} minutes",
         args.top, args.flush_abandonment,
     )
     if args.output:
