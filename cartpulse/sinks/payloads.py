@@ -17,7 +17,12 @@ def payload(experiment_id: str | None = None) -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
-def write_json_lines(events: DataFrame, path: str) -> None:
+def write_json_lines(events: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
+    """One event per line. ``order`` (say event_time, seq) makes the lines run in that
+    order within and across the files; end it with a unique column, so that events that
+    share a moment can still be spread over files."""
+    if order:
+        events = events.repartitionByRange(*order).sortWithinPartitions(*order)
     events.select(payload().alias("value")).write.mode("overwrite").text(path)
 
 

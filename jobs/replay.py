@@ -35,7 +35,7 @@ def main(argv: list[str] | None = None) -> None:
     events = accepted(read_shop_csv(spark, args.input, args.limit))
     moved = rebase(events, F.lit(start), args.rate, args.preserve_timing)
     if args.output:
-        write_json_lines(moved, args.output)
+        write_json_lines(moved, args.output, order=("event_time", "seq"))
     else:
         writer = keyed_records(moved, args.experiment_id).write.format("kafka")
         writer.option("kafka.bootstrap.servers", args.servers).option("topic", args.topic).save()

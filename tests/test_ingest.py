@@ -125,6 +125,25 @@ def test_json_lines_round_trip(spark, csv_file, tmp_path):
     assert back.count() == 8
 
 
+def test_ordered_json_lines_read_back_in_order(spark, tmp_path):
+    n = 5000
+    shuffled = spark.range(n).select(
+        F.timestamp_seconds(F.lit(1569888000) + F.floor(F.col("id") / 7)).alias("event_time"),
+        F.lit("view").alias("event_type"), F.col("id").cast("string").alias("product_id"),
+        *[F.lit("x").alias(c) for c in schema.EVENT_COLUMNS[3:8]], F.lit(1.0).alias("price"),
+        F.lit(None).cast("timestamp").alias("source_event_time"), F.col("id").alias("seq"),
+    ).orderBy(F.rand(3))
+    out = tmp_path / "ordered"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        payloads.write_json_lines(shuffled, str(out), order=("event_time", "seq"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(list(out.glob("part-*"))) > 1
+    back = normalise.accepted(files.read_payload_lines(spark, str(out)), "fail")
+    assert back.filter(F.col("seq") != F.col("product_id").cast("long")).count() == 0 and back.count() == n
+
+
 def test_strict_json_lines(spark, tmp_path):
     good = {"event_time": 1569888000, "event_type": "view", "product_id": 5, "session_id": "s", "price": None}
     path = tmp_path / "events.jsonl"
