@@ -17,6 +17,10 @@ Pairs are found among distinct fingerprints only:
   one bit of it. Two are within two bits if and only if they meet in such a place, and all
   that meet there are linked, so a link to the smallest one is enough. The work is 65
   rows for each member, whatever the bucket holds.
+
+A text that differs from another in a few words often has a fingerprint more than two bits away.
+``tables`` > 1 takes more fingerprints of the same shingles, from hashes mixed again, and links
+documents that any of them links.
 """
 
 import numpy as np
@@ -37,17 +41,16 @@ CROWD = 8
 _CHUNK = 1 << 14
 
 
-def fingerprint(text: bytes) -> int:
-    """64-bit fingerprint of one text, as an unsigned int; 0 without words."""
-    words = common.words_of(text.lower())
-    if not words:
-        return 0
-    if len(words) < SHINGLE:
-        shingles = [b" ".join(words)]
-    else:
-        shingles = map(b" ".join, zip(words, words[1:], words[2:], strict=False))
-    digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(s, SEED) for s in shingles], dtype="<u8")
+def _mixed(hashes: np.ndarray, table: int) -> np.ndarray:
+    """Hashes for one more fingerprint: the finalizer of SplitMix64 with an offset of its own."""
+    h = hashes + np.uint64((0x9E3779B97F4A7C15 * table) % (1 << 64))
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def _majority(hashes: np.ndarray) -> int:
+    """A bit is one if more than half of the hashes have it."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), _CHUNK):
         part = hashes[at : at + _CHUNK].view(np.uint8).reshape(-1, 8)
@@ -56,13 +59,18 @@ def fingerprint(text: bytes) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-_FINGERPRINTS = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("fp", pa.int64())])
-
-
-def _fingerprinted(batches):
-    for rows in batches:
-        prints = np.array([fingerprint(t) for t in rows.column(2).to_pylist()], np.uint64)
-        yield common.batch(_FINGERPRINTS, [rows.column(0), rows.column(1), prints.view(np.int64)])
+def fingerprint(text: bytes, shingle: int = SHINGLE, tables: int = 1) -> list[int]:
+    """64-bit fingerprints of one text, unsigned; all 0 without words."""
+    words = common.words_of(text.lower())
+    if not words:
+        return [0] * tables
+    if len(words) < shingle:
+        shingles = [b" ".join(words)]
+    else:
+        shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
+    digest = xxhash.xxh64_intdigest
+    hashes = np.array([digest(s, SEED) for s in shingles], dtype="<u8")
+    return [_majority(_mixed(hashes, t) if t else hashes) for t in range(tables)]
 
 
 def _key(docs: DataFrame) -> list[Column]:
@@ -70,12 +78,21 @@ def _key(docs: DataFrame) -> list[Column]:
     return [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("mark")]
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, mark, fp) for every row of ``docs``: a hash of the text and its fingerprint as
-    a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, tables: int = 1) -> DataFrame:
+    """(doc_id, mark, fp, fp1, ...) for every row of ``docs``: a hash of the text and its fingerprints
+    as signed longs."""
     common.small_batches(docs.sparkSession)
+    names = ["doc_id", "mark", "fp", *(f"fp{t}" for t in range(1, tables))]
+    schema = pa.schema([(name, pa.int64()) for name in names])
+
+    def fingerprinted(batches):
+        for rows in batches:
+            prints = [fingerprint(t, shingle, tables) for t in rows.column(2).to_pylist()]
+            columns = np.array(prints, np.uint64).reshape(-1, tables).T.copy().view(np.int64)
+            yield common.batch(schema, [rows.column(0), rows.column(1), *columns])
+
     rows = docs.select(*_key(docs), common.utf8(F.col("text")).alias("text"))
-    return rows.mapInArrow(_fingerprinted, "doc_id long, mark long, fp long")
+    return rows.mapInArrow(fingerprinted, ", ".join(f"{name} long" for name in names))
 
 
 def pivots() -> list[int]:
@@ -99,37 +116,39 @@ def _buckets() -> Column:
 
 
 def links(prints: DataFrame) -> DataFrame:
-    """(a, b): enough links between distinct fingerprints ``fp`` to connect all that are
-    within ``RADIUS`` bits of each other, and no others."""
-    filed = prints.select("fp", F.explode(_buckets()).alias("bucket"))
-    sizes = stored(filed.groupBy("bucket").count().where("count > 1"), "buckets")
-    shared = filed.join(sizes, "bucket")
+    """(tab, a, b): enough links between distinct fingerprints (tab, fp) to connect all of the same
+    table that are within ``RADIUS`` bits of each other, and no others."""
+    filed = prints.select("tab", "fp", F.explode(_buckets()).alias("bucket"))
+    sizes = stored(filed.groupBy("tab", "bucket").count().where("count > 1"), "buckets")
+    shared = filed.join(sizes, ["tab", "bucket"])
 
     few = shared.where(F.col("count") <= CROWD).select(
-        "bucket", "fp", _distances(F.col("fp")).alias("row")
+        "tab", "bucket", "fp", _distances(F.col("fp")).alias("row")
+    )
+    left, right = (
+        few.select("tab", "bucket", F.col("fp").alias(n), F.col("row").alias(f"row_{n}")) for n in "ab"
     )
-    left, right = (few.select("bucket", F.col("fp").alias(n), F.col("row").alias(f"row_{n}")) for n in "ab")
     apart = F.zip_with("row_a", "row_b", lambda x, y: F.abs(x - y) > RADIUS)
-    survivors = left.join(
-        right, (left.bucket == right.bucket) & (F.col("a") < F.col("b")) & ~F.exists(apart, lambda x: x)
+    survivors = left.join(right, ["tab", "bucket"]).where(
+        (F.col("a") < F.col("b")) & ~F.exists(apart, lambda x: x)
     )
     verified = survivors.where(
         F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
-    ).select("a", "b")
+    ).select("tab", "a", "b")
 
-    crowded = shared.where(F.col("count") > CROWD).select("fp").distinct()
+    crowded = shared.where(F.col("count") > CROWD).select("tab", "fp").distinct()
     around = F.expr("concat(array(fp), transform(sequence(0, 63), i -> fp ^ shiftleft(1L, i)))")
-    places = crowded.select("fp", F.explode(around).alias("place"))
-    met = places.groupBy("place").agg(F.min("fp").alias("first"), F.count("*").alias("n"))
+    places = crowded.select("tab", "fp", F.explode(around).alias("place"))
+    met = places.groupBy("tab", "place").agg(F.min("fp").alias("first"), F.count("*").alias("n"))
     starred = (
-        places.join(met.where("n > 1"), "place")
+        places.join(met.where("n > 1"), ["tab", "place"])
         .where("fp <> first")
-        .select(F.col("fp").alias("a"), F.col("first").alias("b"))
+        .select("tab", F.col("fp").alias("a"), F.col("first").alias("b"))
     )
     return verified.unionByName(starred).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, tables: int = 1) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, mark, fp, root, component_id.
 
     ``component_id`` is the smallest doc_id reachable through links, itself included; ``root``
@@ -137,10 +156,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     any other. Repeated rows give repeated results. A null doc_id is never smallest; a
     component without any id has a null one. Other columns of ``docs`` are ignored. An empty
     table gives an empty result."""
-    rows = stored(fingerprints(docs), "fingerprints")
+    rows = stored(fingerprints(docs, shingle, tables), "fingerprints")
     classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    roots = connected(links(classes.select("fp")))
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+    # Every fingerprint of every table stands for the smallest first fingerprint it occurs with.
+    every = F.posexplode(F.array("fp", *(f"fp{t}" for t in range(1, tables)))).alias("tab", "print")
+    occurs = rows.select("fp", every).distinct()
+    prints = stored(
+        occurs.groupBy("tab", F.col("print").alias("fp")).agg(F.min("fp").alias("stands")), "prints"
+    )
+    a = prints.select("tab", F.col("fp").alias("a"), F.col("stands").alias("of_a"))
+    b = prints.select("tab", F.col("fp").alias("b"), F.col("stands").alias("of_b"))
+    near = links(prints).join(a, ["tab", "a"]).join(b, ["tab", "b"]).select("of_a", "of_b")
+    edges = near.toDF("a", "b")
+    if tables > 1:
+        same = occurs.join(a.withColumnRenamed("a", "print"), ["tab", "print"]).where("fp <> of_a")
+        edges = edges.unionByName(same.select(F.col("fp").alias("a"), F.col("of_a").alias("b")))
+    rooted = classes.join(connected(edges).withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -154,12 +185,12 @@ def query(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", text.alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, shingle: int = 5, tables: int = 8) -> DataFrame:
     """One row of ``docs`` for each component: that with its smallest doc_id.
 
     Among rows with this id (or without id, where none has one) that with the smallest text
     hash stays; of repeated rows one stays. All columns are kept, whatever their names."""
-    found = near_duplicates(docs).where("doc_id <=> component_id")
+    found = near_duplicates(docs, shingle, tables).where("doc_id <=> component_id")
     chosen = found.groupBy("root").agg(F.first("doc_id").alias("id"), F.min("mark").alias("hash"))
     rows = docs.select(*_key(docs), F.struct("*").alias("doc"))
     match = rows["doc_id"].eqNullSafe(chosen["id"]) & (rows["mark"] == chosen["hash"])
