@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from cartpulse.session import scratch_path, stored
 
 MIN_REVISIT = 1000
-RECORDS = 4000  # of one archive; bounds what a reading task holds
+RECORDS = 1000  # of one archive; bounds what a reading task holds
 _BREAK = "\r\n"
 _RECORD_END = b"\r\n\r\n"
 _EMPTY_MEMBER = gzip.compress(b"", 6, mtime=0)
