@@ -88,7 +88,8 @@ def event_time_of(text: Column, fractional_epoch: bool = False) -> Column:
 
 
 def price_of(text: Column) -> Column:
-    """Price as double; null when absent or unreadable. The shape is checked because the
+    """Price as double; null when absent, unreadable or not finite. The shape is checked because the
     cast also takes suffixes such as ``12.5d``."""
     plain = F.when(text.contains("_"), F.regexp_replace(text, r"(?<=\d)_(?=\d)", "")).otherwise(text)
-    return F.when(plain.rlike(_FLOAT), plain.try_cast("double"))
+    price = F.when(plain.rlike(_FLOAT), plain.try_cast("double"))
+    return F.when(F.abs(price) < float("inf"), price)

@@ -22,8 +22,9 @@ def product_minutes(events: DataFrame, retention: str = RETENTION) -> DataFrame:
 
 def health_minutes(events: DataFrame, retention: str = RETENTION) -> DataFrame:
     """Event count and latency per minute and experiment; needs ``processed_at`` and
-    ``experiment_id`` (null = not part of an experiment)."""
-    measured = events.withColumn("latency_ms", latency_ms(F.col("processed_at"), F.col("event_time")))
+    ``experiment_id`` (null or empty = not part of an experiment)."""
+    labelled = events.withColumn("experiment_id", F.nullif("experiment_id", F.lit("")))
+    measured = labelled.withColumn("latency_ms", latency_ms(F.col("processed_at"), F.col("event_time")))
     return (
         measured.groupBy(minute_of(F.col("event_time")).alias("bucket"), "experiment_id")
         .agg(
@@ -39,7 +40,7 @@ def health_minutes(events: DataFrame, retention: str = RETENTION) -> DataFrame:
 def latency_records(events: DataFrame) -> DataFrame:
     """One latency record per event, labelled with its experiment."""
     return events.select(
-        F.coalesce("experiment_id", F.lit(UNLABELLED)).alias("experiment_id"),
+        F.coalesce(F.nullif("experiment_id", F.lit("")), F.lit(UNLABELLED)).alias("experiment_id"),
         latency_ms(F.col("processed_at"), F.col("event_time")).alias("latency_ms"),
         "event_type",
     )

@@ -13,6 +13,9 @@ NO_PRODUCT = "product_id is required"
 NO_SESSION = "session_id is required"
 BAD_JSON = "malformed record"
 
+# Where a row came from; not part of the row as delivered.
+_ENGINE_COLUMNS = ("seq", "source_row", "partition", "delivery")
+
 
 def _column(raw: DataFrame, name: str) -> Column:
     return F.col(name).cast("string") if name in raw.columns else F.lit(None).cast("string")
@@ -61,7 +64,7 @@ def _interpret(
         "source_event_time": source_time,
     }
     passed = [c for c in raw.columns if c not in {*EVENT_COLUMNS, "user_session", "_corrupt_record"}]
-    payload = [c for c in raw.columns if not c.startswith("source_file") and c != "seq"]
+    payload = [c for c in raw.columns if not c.startswith("source_file") and c not in _ENGINE_COLUMNS]
     if "_corrupt_record" in raw.columns:
         given["_corrupt"] = F.col("_corrupt_record").isNotNull()
     parsed = raw.select(

@@ -4,9 +4,9 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def revenue_by(events: DataFrame, *groups: str) -> DataFrame:
-    """Purchases and revenue per group. Amounts are added as decimals, so the sum does
-    not depend on the order in which partitions arrive."""
-    amount = F.col("price").cast("decimal(20,4)")
+    """Purchases and revenue per group. Amounts are added as decimals of twelve places, so the sum
+    keeps every digit of a price and does not depend on the order in which partitions arrive."""
+    amount = F.col("price").cast("decimal(38,12)")
     return (
         events.filter(F.col("event_type") == "purchase")
         .groupBy(*groups)

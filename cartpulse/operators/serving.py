@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from cartpulse.functions.metrics import activity_lift, is_unusual, round_exact
+from cartpulse.operators.baseline import last_baseline_row
 from cartpulse.operators.trailing import top_products
 from cartpulse.schema import TOP_N, UNUSUAL_LIFT
 
@@ -15,16 +16,22 @@ _NORMAL = {
 
 
 def compare(
-    recent: DataFrame, baseline: DataFrame, threshold: float = UNUSUAL_LIFT
+    recent: DataFrame, baseline: DataFrame, threshold: float = UNUSUAL_LIFT, order: str | None = None
 ) -> DataFrame:
     """Every recent product with its normal activity, lift and flag.
 
     Left join on one row per product each side; a product without a baseline gets zero
     normal activity, no lift and no flag. Averages missing from the baseline table count
-    as zero.
+    as zero. Where the baseline repeats a product its last row counts: that with the highest
+    ``order``, or without one the last row read. The aggregation leaves the rows where
+    the join needs them.
     """
+    if order is None:
+        order = "_row"
+        baseline = baseline.withColumn(order, F.monotonically_increasing_id())
+    baseline = last_baseline_row(baseline, order)
     normal = baseline.select(
-        F.col("product_id").cast("string").alias("product_id"),
+        "product_id",
         *[
             (F.col(c) if c in baseline.columns else F.lit(None)).cast("double").alias(c)
             for c in _NORMAL.values()

@@ -190,7 +190,6 @@ samples AS (
   SELECT epoch_us(date_trunc('minute', ts)) // 1000000 AS elapsed_seconds, count(DISTINCT event_type) AS total_workers
   FROM events GROUP BY ALL)"""
 
-_CLOSED = "(SELECT date_trunc('millisecond', max(event_time)) FROM ev)"
 
 
 def _hops(offsets: str, step: str, width: str) -> str:
@@ -258,10 +257,10 @@ def oracle_sql() -> dict[str, str]:
         "event_copies": f"""WITH {_EVENTS}, five AS (SELECT ev.* FROM ev, range(5)), {_baseline('1 day', source='five')}
             SELECT * FROM base""",
         "revenue_by_brand": f"""WITH {_EVENTS} SELECT p_brand AS part_brand, count(*) AS purchases,
-            CAST(sum(CAST(price AS DECIMAL(20,4))) AS DOUBLE) AS revenue
-            FROM ev JOIN part ON product_id = CAST(p_partkey AS VARCHAR) WHERE event_type = 'purchase' GROUP BY 1""",
+            CAST(sum(CAST(price AS DECIMAL(38,12))) AS DOUBLE) AS revenue
+            FROM ev LEFT JOIN part ON product_id = CAST(p_partkey AS VARCHAR) WHERE event_type = 'purchase' GROUP BY 1""",
         "revenue_by_product": f"""WITH {_EVENTS} SELECT product_id, count(*) AS purchases,
-            CAST(sum(CAST(price AS DECIMAL(20,4))) AS DOUBLE) AS revenue FROM ev WHERE event_type = 'purchase' GROUP BY 1""",
+            CAST(sum(CAST(price AS DECIMAL(38,12))) AS DOUBLE) AS revenue FROM ev WHERE event_type = 'purchase' GROUP BY 1""",
         "trailing_product_activity": f"WITH {day}, {_PRODUCTS} SELECT * FROM products",
         "trailing_product_activity_5m": f"WITH {_EVENTS}, {_recent('5 minutes')}, {_PRODUCTS} SELECT * FROM products",
         "trailing_funnel": f"WITH {day}, {_FUNNEL} SELECT * FROM funnel",
@@ -361,24 +360,25 @@ def oracle_sql() -> dict[str, str]:
         "stream_minute_buckets": f"""WITH {_EVENTS} SELECT date_trunc('minute', event_time) AS bucket, product_id,
             count(*) FILTER (event_type = 'view') AS views, count(*) FILTER (event_type = 'cart') AS carts,
             count(*) FILTER (event_type = 'remove_from_cart') AS removals, count(*) FILTER (event_type = 'purchase') AS purchases,
-            (epoch_us(max(event_time)) + 172800000000) // 1000000 AS expires_at, max(event_time) AS updated_at FROM ev GROUP BY ALL""",
+            (epoch_us(max(event_time)) + 172800000000) // 1000000 AS expires_at, max(processed_at) AS updated_at FROM ev GROUP BY ALL""",
         "stream_minute_health": f"WITH {_EVENTS}, {_HEALTH} SELECT * FROM health",
         "stream_hopping_trend": f"""WITH {_EVENTS}, {_hops('[0, 1, 2, 3, 4]', '1 minute', '5 minutes')}
-            SELECT window_start, window_end, product_id, {_COUNTS} FROM hops WHERE window_end <= {_CLOSED} GROUP BY ALL""",
+            SELECT window_start, window_end, product_id, {_COUNTS} FROM hops GROUP BY ALL""",
         "stream_funnel": f"""WITH {_EVENTS}, {_hops('[0, 1, 2, 3]', '6 hours', '1 day')},
             stage_row AS (SELECT window_start, window_end, {_STAGES}, count(DISTINCT session_id) AS active_sessions
-              FROM hops WHERE window_end <= {_CLOSED} GROUP BY ALL)
+              FROM hops GROUP BY ALL)
             SELECT *, {_DROPS} FROM stage_row""",
-        "stream_abandonment": f"""WITH {long_signals} SELECT session_id, product_id, cart_time, deadline FROM signals
-            WHERE deadline - INTERVAL '1 microsecond' <= {_CLOSED}""",
+        "stream_abandonment": f"""WITH {_EVENTS}, {_signals('5 days', flush=True)}
+            SELECT session_id, product_id, cart_time, deadline FROM signals""",
         "stream_dedup": f"""WITH {_EVENTS}, {_hops('[0]', '10 minutes', '10 minutes')}
-            SELECT window_start, window_end, product_id, {_COUNTS} FROM hops
-            WHERE window_end <= {_CLOSED} - INTERVAL '1 hour' GROUP BY ALL""",
+            SELECT window_start, window_end, product_id, {_COUNTS} FROM hops GROUP BY ALL""",
+        "stream_late": f"""WITH {_EVENTS} SELECT seq, event_time, product_id, session_id FROM ev l
+            WHERE event_time < (SELECT max(event_time) FROM ev e WHERE e.seq % 3 < l.seq % 3) - INTERVAL '2 days'""",
         "stream_route": """SELECT event_id AS seq, CASE WHEN event_type IN ('view', 'purchase') THEN 'accepted' ELSE 'rejected' END AS status,
             CASE WHEN event_type IN ('view', 'purchase') THEN NULL ELSE 'unsupported event_type' END AS reject_reason FROM events""",
         "stream_archive": f"WITH {_EVENTS} SELECT seq, {_CLEAN}, strftime(event_time, '%Y-%m-%d') AS event_date FROM ev",
         "stream_serving": f"""WITH {_EVENTS}, {_baseline('1 day')}, {_hops('[0]', '1 day', '1 day')},
-            products AS (SELECT window_end, product_id, {_COUNTS} FROM hops WHERE window_end <= {_CLOSED} GROUP BY ALL), {_COMPARED}
+            products AS (SELECT window_end, product_id, {_COUNTS} FROM hops GROUP BY ALL), {_COMPARED}
             SELECT window_end, CAST(row_number() OVER w AS INTEGER) AS rank, product_id, trend_score, activity_lift,
               is_unusually_trending FROM compared
             WINDOW w AS (PARTITION BY window_end {_RANK}) QUALIFY row_number() OVER w <= 5""",

@@ -206,11 +206,11 @@ def revenue_by_brand(spark, sf_dir):
     events = sample.shop_events(spark, sf_dir)
     sold = revenue.revenue_by(events, "product_id")
     return (
-        sold.join(sample.parts(spark, sf_dir), "product_id")
+        sold.join(sample.parts(spark, sf_dir), "product_id", "left")
         .groupBy("part_brand")
         .agg(
             F.sum("purchases").alias("purchases"),
-            F.sum(F.col("revenue").cast("decimal(20,4)")).cast("double").alias("revenue"),
+            F.sum(F.col("revenue").cast("decimal(38,12)")).cast("double").alias("revenue"),
         )
     )
 
@@ -425,7 +425,7 @@ def load_run_summary(spark, sf_dir):
 
 def load_run_csv(spark, sf_dir):
     path = session.scratch_path(spark, "runs")
-    tables.write_table_csv(_runs(spark, sf_dir), path)
+    tables.write_table_csv(_runs(spark, sf_dir), path, order=("completed_at_utc", "experiment_id"))
     stored = files.read_table_csv(spark, path, schema.LOAD_RUN_SCHEMA)
     return experiments.complete_runs(stored).select(
         "experiment_id", "target_rate_eps", "sent_records", "completed_at_utc"
@@ -461,6 +461,29 @@ def _stream(spark, sf_dir):
     return sample.canonical(_event_rows(spark, sf_dir))
 
 
+PIECES = 3  # files of a shuffled feed, one a micro-batch
+
+
+def _pieces(spark, sf_dir, closing=True):
+    """The events as a stream of files in no order of time, and a row that closes the clock."""
+    events = sample.canonical(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    path = session.scratch_path(spark, "feed")
+    for piece in range(PIECES):
+        events.filter(F.col("seq") % PIECES == piece).coalesce(1).write.mode("append").parquet(path)
+    if closing:
+        end = events.agg(F.max("event_time") + F.expr(f"interval {LATENESS}") * 2).scalar()
+        inputs.closing_row(spark, events.schema, end).write.mode("append").parquet(path)
+    return inputs.table_files(spark, f"{path}/*.parquet", events.schema, max_files=1)
+
+
+# Covers the whole span of the events, because the files come in no order.
+LATENESS = "1000 days"
+
+
+def _clocked(spark, sf_dir):
+    return inputs.on_clock(_pieces(spark, sf_dir), LATENESS)
+
+
 def _run(spark, name, start):
     """Runs a query over everything that is there; returns the folder it filled."""
     root = session.scratch_path(spark, name)
@@ -475,37 +498,43 @@ def _appended(spark, name, rows):
 
 
 def stream_minute_buckets(spark, sf_dir):
-    counters = views.minute_counters(inputs.on_clock(_stream(spark, sf_dir)))
+    counters = views.minute_counters(_clocked(spark, sf_dir))
     path = _run(spark, "minutes", lambda out, check: outputs.upsert_totals(counters, out, check))
     return outputs.read_totals(spark, path, "bucket", "product_id")
 
 
 def stream_minute_health(spark, sf_dir):
-    health = views.minute_health(inputs.on_clock(_stream(spark, sf_dir)))
+    health = views.minute_health(_clocked(spark, sf_dir))
     path = _run(spark, "health", lambda out, check: outputs.upsert_totals(health, out, check))
     return outputs.read_totals(spark, path, "bucket", "experiment_id")
 
 
 def stream_hopping_trend(spark, sf_dir):
-    return _appended(spark, "hopping", views.hopping_trend(inputs.on_clock(_stream(spark, sf_dir))))
+    return _appended(spark, "hopping", views.hopping_trend(_clocked(spark, sf_dir)))
 
 
 def stream_funnel(spark, sf_dir):
-    funnel = views.session_funnel(inputs.on_clock(_stream(spark, sf_dir)), "1 day", "6 hours")
+    funnel = views.session_funnel(_clocked(spark, sf_dir), "1 day", "6 hours")
     return _appended(spark, "funnel", funnel)
 
 
 def stream_abandonment(spark, sf_dir):
-    signals = views.abandoned_carts(inputs.on_clock(_stream(spark, sf_dir)), LONG_TIMEOUT)
+    signals = views.abandoned_carts(_clocked(spark, sf_dir), LONG_TIMEOUT)
     return _appended(spark, "abandonment", signals)
 
 
 def stream_dedup(spark, sf_dir):
-    twice = _stream(spark, sf_dir).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    once = inputs.on_clock(twice, delay="1 hour", event_id="seq")
+    twice = _pieces(spark, sf_dir).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    once = inputs.on_clock(twice, LATENESS, event_id="seq")
     return _appended(spark, "dedup", views.hopping_trend(once, "10 minutes", "10 minutes"))
 
 
+def stream_late(spark, sf_dir):
+    events = _pieces(spark, sf_dir, closing=False)
+    path = _run(spark, "late", lambda out, check: outputs.late_rows(events, out, check, "2 days"))
+    return outputs.read_late(spark, path).select("seq", "event_time", "product_id", "session_id")
+
+
 def stream_route(spark, sf_dir):
     raw = _event_rows(spark, sf_dir)
     payload = F.to_json(
@@ -533,7 +562,7 @@ def stream_archive(spark, sf_dir):
 def stream_serving(spark, sf_dir):
     normal = session.scratch_path(spark, "normal")
     product_baseline_daily(spark, sf_dir).write.parquet(normal)
-    trend = views.hopping_trend(inputs.on_clock(_stream(spark, sf_dir)), "1 day", "1 day")
+    trend = views.hopping_trend(_clocked(spark, sf_dir), "1 day", "1 day")
     path = _run(spark, "serving", lambda out, check: outputs.serve(trend, normal, out, check))
     return spark.read.option("basePath", path).parquet(f"{path}/batch_id=*").select(
         "window_end", "rank", "product_id", "trend_score", "activity_lift", "is_unusually_trending"
@@ -556,7 +585,7 @@ _QUERIES = (
     latency_stats, backlog_age, largest_backlog_age, load_run_throughput, load_run_summary,
     load_run_csv, throughput_over_time, worker_speedup, scaling_changes, scaling_observed,
     stream_minute_buckets, stream_minute_health, stream_hopping_trend, stream_funnel,
-    stream_abandonment, stream_dedup, stream_route, stream_archive, stream_serving,
+    stream_abandonment, stream_dedup, stream_late, stream_route, stream_archive, stream_serving,
 )
 
 

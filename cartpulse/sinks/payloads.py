@@ -50,7 +50,7 @@ def latency_line() -> Column:
     return F.to_json(
         F.struct(
             F.lit(LATENCY_METRIC).alias("metric"),
-            F.coalesce("experiment_id", F.lit(UNLABELLED)).alias("experiment_id"),
+            F.coalesce(F.nullif("experiment_id", F.lit("")), F.lit(UNLABELLED)).alias("experiment_id"),
             latency_ms(F.col("processed_at"), F.col("event_time")).alias("latency_ms"),
             "event_type",
         )
@@ -75,7 +75,7 @@ def health_keys(health_buckets: DataFrame) -> DataFrame:
     """Export of health buckets; the experiment is part of the key only where there is one."""
     return health_buckets.select(
         F.concat_ws("#", F.lit("WINDOW"), utc_text(F.col("bucket"))).alias("PK"),
-        F.concat_ws("#", F.lit("HEALTH"), "experiment_id").alias("SK"),
+        F.concat_ws("#", F.lit("HEALTH"), F.nullif("experiment_id", F.lit(""))).alias("SK"),
         F.col("event_count").alias("EventCount"),
         F.col("latency_total_ms").alias("LatencyTotalMs"),
         F.col("expires_at").alias("ExpiresAt"),

@@ -7,15 +7,15 @@ from cartpulse.sources.files import read_baseline
 
 
 def write_baseline(baseline: DataFrame, path: str, json_files: int | None = None) -> None:
-    """Baseline as Parquet under ``/parquet`` and as JSON under ``/json``.
+    """Baseline by product as Parquet under ``/parquet`` and as JSON under ``/json``.
 
     The JSON copy is read back from the Parquet one, so the baseline is computed once.
     ``json_files=1`` gives a single file, which funnels all products through one task:
     only for baselines that fit there.
     """
     root = path.rstrip("/")
-    baseline.write.mode("overwrite").parquet(f"{root}/parquet")
-    stored = read_baseline(baseline.sparkSession, f"{root}/parquet")
+    baseline.orderBy("product_id").write.mode("overwrite").parquet(f"{root}/parquet")
+    stored = read_baseline(baseline.sparkSession, f"{root}/parquet").orderBy("product_id")
     if json_files is not None:
         stored = stored.coalesce(json_files)
     stored.write.mode("overwrite").option("ignoreNullFields", False).json(f"{root}/json")
@@ -51,8 +51,10 @@ def document_json(document: DataFrame) -> Column:
     )
 
 
-def write_table_csv(table: DataFrame, path: str) -> None:
-    """An experiment table with header."""
+def write_table_csv(table: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
+    """An experiment table with header, its rows and files in ascending ``order`` where given
+    (completion time of runs, rates, worker counts)."""
+    table = table.orderBy(*order) if order else table
     exact = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
     writer = table.write.mode("overwrite").option("header", True)
     writer.option("timestampFormat", exact).csv(path)

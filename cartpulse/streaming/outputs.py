@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from cartpulse.functions.timebuckets import interval
 from cartpulse.operators.serving import compare
 from cartpulse.schema import TOP_N, UNUSUAL_LIFT
 from cartpulse.sinks.payloads import keyed_records
@@ -56,6 +57,40 @@ def compact_totals(spark: SparkSession, path: str, target: str, now, *keys: str)
     current.write.mode("overwrite").parquet(f"{target}/batch_id=-1")
 
 
+def late_rows(
+    events: DataFrame, path: str, checkpoint: str, delay: str, every: str | None = None, strict: bool = False
+) -> StreamingQuery:
+    """Keeps the events that come more than ``delay`` behind the newest event of earlier micro-batches:
+    the rows that views on a clock with this delay can no longer count. With ``strict`` the
+    first such event fails the query.
+
+    Each micro-batch stores its clock and its late rows under its own number, so a repeated batch
+    replaces itself; the clock of a batch is read from the batch before."""
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        newest = F.max("event_time").alias("newest")
+        previous = None
+        if batch_id:
+            previous = spark.read.parquet(f"{path}/clock/batch_id={batch_id - 1}").first()["newest"]
+        late = batch.filter(F.col("event_time") < F.lit(previous).cast("timestamp") - interval(delay))
+        if strict:
+            too_late = F.raise_error(F.concat(F.lit("event behind the clock at "), F.col("event_time").cast("string")))
+            late = late.filter(too_late.cast("boolean"))
+        late.write.mode("overwrite").parquet(f"{path}/late/batch_id={batch_id}")
+        clock = batch.select("event_time").agg(newest)
+        clock.select(F.greatest("newest", F.lit(previous).cast("timestamp")).alias("newest")).write.mode(
+            "overwrite"
+        ).parquet(f"{path}/clock/batch_id={batch_id}")
+
+    return _start(events.writeStream.outputMode("append").foreachBatch(store), checkpoint, every)
+
+
+def read_late(spark: SparkSession, path: str) -> DataFrame:
+    """All late rows so far, with the micro-batch that brought them."""
+    return spark.read.option("basePath", f"{path}/late").parquet(f"{path}/late/batch_id=*")
+
+
 def route(interpreted: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Accepted events and rejects of each micro-batch, written in one pass into
     ``status=accepted`` and ``status=rejected``. A bad record never blocks the good ones
@@ -89,6 +124,8 @@ def serve(
     exchange."""
 
     def publish(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         ranked = rank_windows(
             compare(batch, read_baseline(batch.sparkSession, baseline_path), threshold), n
         )

@@ -57,10 +57,18 @@ def main(argv: list[str] | None = None) -> None:
         outputs.upsert_totals(views.minute_health(events), *at("health_minutes"), every),
         outputs.append_table(views.session_funnel(events, window), *at("funnel"), every),
         outputs.append_table(views.abandoned_carts(events, timeout), *at("abandoned_carts"), every),
+        outputs.late_rows(archived, *at("late"), args.delay, every),
         outputs.serve(views.hopping_trend(events, window), args.baseline, *at("trending"), every=every),
     ]
-    for query in queries:
-        query.awaitTermination()
+    if args.once:
+        for query in queries:
+            query.awaitTermination()
+        return
+    try:
+        spark.streams.awaitAnyTermination()  # raises what ended it
+    finally:
+        for query in queries:
+            query.stop()
 
 
 if __name__ == "__main__":

@@ -5,8 +5,12 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from conftest import EIGHT, at, events_of
+from cartpulse import schema
 from cartpulse.functions import cleaning, metrics
 from cartpulse.functions.timebuckets import latency_ms, slot_of, stream_key, utc_text
+from cartpulse.operators import minutes, normalise, revenue
+from cartpulse.sinks import payloads
 
 MIDNIGHT = dt.datetime(2019, 10, 1)
 
@@ -76,7 +80,7 @@ def test_event_types(spark):
 
 def test_prices(spark):
     expected = {
-        "12.50": 12.5, " 7 ": 7.0, "1e3": 1000.0, ".5": 0.5, "1_000": 1000.0, "inf": float("inf"),
+        "12.50": 12.5, " 7 ": 7.0, "1e3": 1000.0, ".5": 0.5, "1_000": 1000.0, "inf": None,
         "12.5d": None, "0x10": None, "free": None, " ": None, "": None, None: None,
     }
     assert dict(zip(expected, column(spark, list(expected), cleaning.price_of))) == expected
@@ -142,3 +146,24 @@ def test_stream_key_sorts_like_the_pair(spark, pairs):
         "t", "s", stream_key(F.timestamp_micros("t"), F.col("s")).alias("k")
     )
     assert [tuple(r) for r in df.orderBy("k").select("t", "s").collect()] == sorted(pairs)
+
+
+def test_empty_label_is_none(spark):
+    rows = events_of(spark, EIGHT[:1], processed_at=lambda i: at(0), experiment_id="")
+    assert minutes.latency_records(rows).first().experiment_id == schema.UNLABELLED
+    assert payloads.health_keys(minutes.health_minutes(rows)).first().SK == "HEALTH"
+
+
+def test_raw_is_the_row_as_delivered_and_prices_are_finite(spark):
+    columns = "event_time string, event_type string, product_id string, user_session string, price string, source_row long"
+    rows = [("2019-10-01 00:00:00 UTC", "view", "1", "s", p, i) for i, p in enumerate(("nan", "inf", "1.5"))]
+    read = normalise.interpret_shop_rows(spark.createDataFrame(rows, columns))
+    dead = normalise.rejected(read).collect()
+    assert [r.reason for r in dead] == [normalise.BAD_PRICE] * 2
+    assert all("source_row" not in r.raw for r in dead) and {r.source_row for r in dead} == {0, 1}
+
+
+def test_small_prices_add_up(spark):
+    rows = events_of(spark, [(0, "purchase", "1", "s")] * 3, price=lambda i: (0.00004, 0.00004, 1e18)[i])
+    assert revenue.revenue_by(rows.filter("seq < 2"), "product_id").first().revenue == 0.00008
+    assert revenue.revenue_by(rows, "product_id").first().revenue == 1e18

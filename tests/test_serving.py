@@ -99,3 +99,14 @@ def test_null_lift_is_exported(spark, tmp_path):
 def test_lift_threshold_column(spark):
     df = spark.createDataFrame([(3.0, 2.0)], "c double, n double")
     assert df.select(metrics.is_unusual(F.col("c"), F.col("n"), 1.5)).first()[0]
+
+
+def test_last_row_of_a_repeated_product_counts(spark, tmp_path):
+    row = {c: None for c in schema.BASELINE_SCHEMA.fieldNames()}
+    lines = [json.dumps({**row, "product_id": "1", "avg_trend_score_5m": s}) for s in (2.0, 5.0)]
+    (tmp_path / "base.json").write_text(f"[{','.join(lines)}]")
+    normal = files.read_baseline_json(spark, str(tmp_path / "base.json"))
+    recent = spark.createDataFrame([("1", 10)], "product_id string, trend_score long")
+    assert [r.activity_lift for r in serving.compare(recent, normal).collect()] == [2.0]
+    ordered = normal.withColumn("place", -F.col("avg_trend_score_5m"))
+    assert [r.activity_lift for r in serving.compare(recent, ordered, order="place").collect()] == [5.0]

@@ -111,7 +111,7 @@ def test_minute_totals_equal_the_batch_form(feed, pieces):
     counters = views.minute_counters(feed.stream())
     out = feed.run(lambda o, c: outputs.upsert_totals(counters, o, c))
     current = outputs.read_totals(feed.spark, out, "bucket", "product_id")
-    assert same(current, minutes.product_minutes(events.drop("processed_at")))
+    assert same(current, minutes.product_minutes(events))
     health = views.minute_health(feed.stream())
     out = feed.run(lambda o, c: outputs.upsert_totals(health, o, c), "health")
     current = outputs.read_totals(feed.spark, out, "bucket", "experiment_id")
@@ -210,3 +210,50 @@ def test_live_serving_ranks_closed_windows(feed):
     want = outputs.rank_windows(serving.compare(counts.filter(closed), normal), 2)
     columns = ["window_end", "rank", "product_id", "trend_score", "activity_lift", "is_unusually_trending"]
     assert got.count() > 10 and same(got.select(*columns), want)
+
+
+def shuffled(feed, rows, pieces, delay):
+    """The events in files of no order, one a micro-batch, and the row that closes the clock."""
+    events = full(feed.spark, rows)
+    for i in range(pieces):
+        feed.add(events.filter(F.col("seq") % pieces == pieces - 1 - i))
+    end = F.lit(at(rows[-1][0])) + F.expr(f"interval {delay}") * 2
+    feed.add(inputs.closing_row(feed.spark, events.schema, end))
+    return events
+
+
+@pytest.mark.parametrize("pieces", [1, 5])
+def test_order_and_number_of_files_do_not_matter(feed, pieces):
+    events = shuffled(feed, some_events(), pieces, "2 days")
+    trend = feed.appended(views.hopping_trend(feed.stream("2 days")), "trend")
+    batch = minutes.hopping_view(minutes.product_minutes(events))
+    assert sorted(trend.select(*batch.columns).collect()) == sorted(batch.collect())
+    signals = feed.appended(views.abandoned_carts(feed.stream("2 days")), "signals")
+    overdue = abandonment.overdue_carts(events, flush=True)
+    assert sorted(signals.collect()) == sorted(overdue.collect())
+    out = feed.run(lambda o, c: outputs.upsert_totals(views.minute_counters(feed.stream("2 days")), o, c), "minutes")
+    totals = outputs.read_totals(feed.spark, out, "bucket", "product_id")
+    stored = minutes.product_minutes(events)
+    assert sorted(totals.select(*stored.columns).collect()) == sorted(stored.collect())
+
+
+def test_late_rows_are_kept(feed):
+    rows = some_events(60)
+    events = full(feed.spark, rows)
+    for low, high in ((40, 60), (0, 20), (20, 40)):
+        feed.add(events.filter((F.col("seq") >= low) & (F.col("seq") < high)))
+    table = feed.spark.read.parquet(str(feed.folder / "in")).schema
+    stream = inputs.table_files(feed.spark, str(feed.folder / "in"), table, max_files=1)
+    out = feed.run(lambda o, c: outputs.late_rows(stream, o, c, "1 minute"), "late")
+    newest = max(rows[i][0] for i in range(40, 60))
+    want = sorted(i for i in range(40) if rows[i][0] < newest - 1)
+    assert want and sorted(r.seq for r in outputs.read_late(feed.spark, out).collect()) == want
+    with pytest.raises(Exception, match="behind the clock"):
+        feed.run(lambda o, c: outputs.late_rows(stream, o, c, "1 minute", strict=True), "strict")
+
+
+def test_updated_at_is_the_processing_time(feed):
+    events = filled(feed, some_events(30), 2)
+    out = feed.run(lambda o, c: outputs.upsert_totals(views.minute_counters(feed.stream()), o, c))
+    newest = outputs.read_totals(feed.spark, out, "bucket", "product_id").agg(F.max("updated_at")).first()[0]
+    assert newest == events.agg(F.max("processed_at")).first()[0]
