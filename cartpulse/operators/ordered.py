@@ -19,6 +19,19 @@ def _chunked(rows: DataFrame, seq: str) -> DataFrame:
     return rows.withColumn("_chunk", whole_div(F.col(seq), CHUNK))
 
 
+def first_rows(rows: DataFrame, n: int, seq: str = "seq") -> DataFrame:
+    """The first ``n`` rows in ``seq`` order. Chunks are counted first, over ``seq`` alone; only those
+    that hold the rows are read whole, and only they are shuffled."""
+    if n <= 0:
+        return rows.limit(0)
+    counts = _chunked(rows.select(seq), seq).groupBy("_chunk").agg(F.count("*").alias("_rows"))
+    upto = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = counts.withColumn("_all", F.sum("_rows").over(upto)).filter(F.col("_all") >= n)
+    last = filled.agg((F.min("_chunk") + 1) * CHUNK).scalar()
+    start = rows.filter(F.col(seq) < F.coalesce(last, F.lit((1 << 63) - 1)))
+    return with_position(start, seq).filter(F.col("position") < n).drop("position")
+
+
 def with_position(rows: DataFrame, seq: str = "seq") -> DataFrame:
     """Adds ``position``: 0, 1, 2, … in ``seq`` order, without gaps."""
     chunks = _chunked(rows, seq)

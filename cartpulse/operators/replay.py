@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cartpulse.functions.timebuckets import history_clock
-from cartpulse.operators.ordered import with_position
+from cartpulse.operators.ordered import first_rows, with_position
 
 
 def rebase(
@@ -40,4 +40,4 @@ def rebase(
 
 def limit_source_rows(rows: DataFrame, n: int, seq: str = "seq") -> DataFrame:
     """The first ``n`` source rows in ``seq`` order, counted before any validation."""
-    return with_position(rows, seq).filter(F.col("position") < n).drop("position")
+    return first_rows(rows, n, seq)

@@ -16,12 +16,20 @@ def in_window(events: DataFrame, window: str = WINDOW, as_of: Column | None = No
     """Events with ``as_of - window <= event_time <= as_of``, both ends included.
 
     Without ``as_of`` the clock is the last event. It is then a scalar subquery, so
-    the bound is a plain comparison that stored tables can use to skip row groups.
+    the bound is a plain comparison that stored tables can use to skip row groups. Where the
+    events come with their date, the clock is sought in the newest date only, and the
+    window reads only the dates it covers.
     """
     time = F.col("event_time")
     if as_of is None:
-        start = events.agg((F.max("event_time") - interval(window)).alias("start"))
-        return events.filter(time >= start.scalar())
+        dated = "event_date" in events.columns
+        newest = events
+        if dated:
+            newest = events.filter(F.col("event_date") >= events.agg(F.max("event_date")).scalar())
+        start = newest.agg((F.max("event_time") - interval(window)).alias("start")).scalar()
+        if dated:
+            events = events.filter(F.col("event_date") >= F.to_date(start))
+        return events.filter(time >= start)
     return events.filter((time >= as_of - interval(window)) & (time <= as_of))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from cartpulse import schema
 from cartpulse.operators.normalise import interpret_payloads, interpret_shop_rows
 from cartpulse.session import stored
+from cartpulse.sources.records import decode_records
 
 _CORRUPT = T.StructField("_corrupt_record", T.StringType())
 
@@ -95,12 +96,11 @@ def read_shop_csv(
 
 
 def read_payload_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Interpreted rows of canonical JSON lines; blank lines are skipped.
+    """Interpreted rows of canonical JSON lines; blank lines are skipped, but count as lines.
 
     Follow with ``accepted(rows, on_invalid="fail")`` for the strict read."""
-    text = T.StructType([*schema.JSON_TEXT_SCHEMA.fields, _CORRUPT])
-    raw = spark.read.schema(text).json(paths)
-    return interpret_payloads(with_source_rows(raw, first_row=1))
+    lines = with_source_rows(spark.read.text(paths), first_row=1)
+    return decode_records(lines.filter(F.trim("value") != ""), data="value", base64=False)
 
 
 def read_history(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -6,9 +6,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import CSV, T0, at, naive
+from conftest import CSV, T0, at, events_of, naive
 from cartpulse import schema
-from cartpulse.operators import normalise, quality, replay
+from cartpulse.operators import normalise, ordered, quality, replay, trailing
 from cartpulse.sinks import payloads, tables
 from cartpulse.sources import files, records
 
@@ -229,3 +229,28 @@ def test_unusable_canonical_events_are_filtered(spark):
     ]
     df = spark.createDataFrame(rows, "event_time timestamp, event_type string, product_id string, session_id string")
     assert normalise.usable(df).count() == 1
+
+
+def test_blank_lines_count_as_lines(spark, tmp_path):
+    good = '{"event_time":"2019-10-01T00:00:00Z","event_type":"view","product_id":"1","session_id":"s"}'
+    (tmp_path / "lines.json").write_text(f"{good}\n\n  \nnot json\n{good}\n")
+    rows = files.read_payload_lines(spark, str(tmp_path / "lines.json"))
+    assert [(r.source_row, r.reason) for r in normalise.rejected(rows).collect()] == [(4, normalise.BAD_JSON)]
+    assert sorted(r.source_row for r in normalise.accepted(rows).collect()) == [1, 5]
+
+
+def test_trailing_window_reads_only_the_dates_it_needs(spark, tmp_path):
+    rows = [(day * 1440 + i, "view", str(i), "s") for day in range(5) for i in range(3)]
+    tables.write_archive(events_of(spark, rows), str(tmp_path / "archive"))
+    recent = trailing.in_window(files.read_archive(spark, str(tmp_path / "archive")))
+    assert sorted(r.product_id for r in recent.collect()) == ["0", "1", "2"]
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan.split("Subquery")[0]
+
+
+def test_first_rows_over_chunks(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "CHUNK", 10)
+    rows = spark.createDataFrame([(i * 7,) for i in range(40)], "seq long")
+    for n in (0, 1, 15, 40, 99):
+        got = ordered.first_rows(rows, n)
+        assert sorted(r.seq for r in got.collect()) == [i * 7 for i in range(min(n, 40))]

@@ -3,7 +3,8 @@ import json
 import pytest
 
 from conftest import CSV, naive
-from jobs import baseline, normalise, replay, serve, snapshot, stream
+from cartpulse.streaming import outputs
+from jobs import baseline, compact, normalise, replay, serve, snapshot, stream
 
 
 @pytest.fixture
@@ -58,3 +59,14 @@ def test_stream_job(spark, source, tmp_path):
     signals = read(f"{out}/abandoned_carts").collect()
     assert [(r.session_id, r.cart_time) for r in signals] == [("s1", naive(1))]
     assert read(f"{out}/funnel").count() > 0 and read(f"{out}/trending").count() > 0
+
+
+def test_compact_job(spark, tmp_path):
+    row = [(naive(0), "1", v, e) for v, e in ((1, 10**12), (2, 10**12))]
+    kinds = "bucket timestamp, product_id string, views long, expires_at long"
+    for i, r in enumerate(row):
+        spark.createDataFrame([r], kinds).write.parquet(str(tmp_path / f"totals/batch_id={i}"))
+    spark.createDataFrame([(naive(0), "2", 1, 5)], kinds).write.parquet(str(tmp_path / "totals/batch_id=2"))
+    compact.main([str(tmp_path / "totals"), str(tmp_path / "small"), "--keys", "bucket", "product_id"])
+    kept = outputs.read_totals(spark, str(tmp_path / "small"), "bucket", "product_id").collect()
+    assert [(r.product_id, r.views) for r in kept] == [("1", 2)]
