@@ -264,3 +264,21 @@ def test_queries_equal_their_sql(spark, name):
     want = connection.sql(entry.oracle_sql()[name])
     got = entry.queries()[name](spark, SF).select(*want.columns)
     assert Counter(map(tuple, got.collect())) == Counter(want.fetchall())
+
+
+@pytest.mark.parametrize("rows", [odd, empty])
+def test_pipeline_takes_odd_and_empty_tables(spark, rows):
+    import corpus_pipeline
+
+    docs = rows(spark)
+    names = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+        if name != "packing":
+            assert docs.columns == names
+    found = docs.collect()
+    assert bool(found) == (rows is odd)
+    if found:
+        # Repeated rows and texts without words are one document each; the long one is cut in pieces.
+        assert {r.doc_id for r in found} >= {3, 4, 6, 7, None}
+        assert sum(r.n_tokens for r in found if r.doc_id == 3) == 30_001
