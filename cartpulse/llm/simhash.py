@@ -18,11 +18,17 @@ Pairs are found among distinct fingerprints only:
   that meet there are linked, so a link to the smallest one is enough. The work is 65
   rows for each member, whatever the bucket holds.
 
-A text that differs from another in a few words often has a fingerprint more than two bits away.
-``tables`` > 1 takes more fingerprints of the same shingles, from hashes mixed again, and links
-documents that any of them links.
+A text that differs from another in some words mostly has a fingerprint more than two bits away.
+``tables`` > 1 takes more fingerprints of the same shingles, from hashes mixed again. Documents
+that any of them links are linked, whatever the buckets hold. On top of that, pairs within
+``REACH`` bits in a bucket of up to ``CROWD`` fingerprints (pivots discard the others) are
+verified on all their fingerprints together, whose share of differing bits measures the
+similarity of the texts. In crowded buckets a text has so many neighbours that some are within two
+bits in some table.
 """
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -36,27 +42,34 @@ from cartpulse.session import stored
 SHINGLE = 3
 SEED = 42
 RADIUS = 2
+REACH = 8
+SIMILARITY = 0.8
 PIVOTS = 32
 CROWD = 8
-_CHUNK = 1 << 14
-
+_LANES = np.uint64(0x0101010101010101)
 
-def _mixed(hashes: np.ndarray, table: int) -> np.ndarray:
-    """Hashes for one more fingerprint: the finalizer of SplitMix64 with an offset of its own."""
-    h = hashes + np.uint64((0x9E3779B97F4A7C15 * table) % (1 << 64))
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
 
-
-def _majority(hashes: np.ndarray) -> int:
-    """A bit is one if more than half of the hashes have it."""
-    counts = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), _CHUNK):
-        part = hashes[at : at + _CHUNK].view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
+def _mixed(hashes: np.ndarray, tables: int) -> np.ndarray:
+    """One row a table: the hashes themselves, then mixed by the finalizer of SplitMix64 with an offset."""
+    offsets = np.array([0x9E3779B97F4A7C15 * t % (1 << 64) for t in range(tables)], "<u8")
+    h = hashes + offsets[:, None]
+    if tables > 1:
+        h[1:] = (h[1:] ^ (h[1:] >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h[1:] = (h[1:] ^ (h[1:] >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        h[1:] ^= h[1:] >> np.uint64(31)
+    return h
+
+
+def _majorities(hashes: np.ndarray, tables: int) -> list[int]:
+    """One fingerprint a table: a bit is one if more than half of the hashes have it."""
+    counts = np.zeros((tables, 8, 8), np.int64)  # by byte and bit
+    for at in range(0, len(hashes), 255):  # a byte counts no further
+        mixed = _mixed(hashes[at : at + 255], tables)
+        for bit in range(8):
+            lanes = (mixed >> np.uint64(bit) & _LANES).sum(axis=1, dtype="<u8")
+            counts[:, :, bit] += lanes.view(np.uint8).reshape(tables, 8)
     bits = (2 * counts > len(hashes)).astype(np.uint8)
-    return int(np.packbits(bits, bitorder="little").view("<u8")[0])
+    return np.packbits(bits.reshape(tables, 64), axis=1, bitorder="little").view("<u8").ravel().tolist()
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, tables: int = 1) -> list[int]:
@@ -70,7 +83,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, tables: int = 1) -> list[in
         shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(s, SEED) for s in shingles], dtype="<u8")
-    return [_majority(_mixed(hashes, t) if t else hashes) for t in range(tables)]
+    return _majorities(hashes, tables)
 
 
 def _key(docs: DataFrame) -> list[Column]:
@@ -106,49 +119,65 @@ def _distances(fp: Column) -> Column:
 
 
 def _buckets() -> Column:
+    """Six keys: table, which two blocks, their bits."""
     block = [f"(shiftrightunsigned(fp, {16 * i}) & 65535L)" for i in range(4)]
     keys = [
-        f"shiftleft({4 * i + j}L, 32) | shiftleft({block[i]}, 16) | {block[j]}"
+        f"shiftleft(tab, 40) | shiftleft({4 * i + j}L, 32) | shiftleft({block[i]}, 16) | {block[j]}"
         for i in range(4)
         for j in range(i + 1, 4)
     ]
     return F.expr(f"array({', '.join(keys)})")
 
 
-def links(prints: DataFrame) -> DataFrame:
-    """(tab, a, b): enough links between distinct fingerprints (tab, fp) to connect all of the same
-    table that are within ``RADIUS`` bits of each other, and no others."""
-    filed = prints.select("tab", "fp", F.explode(_buckets()).alias("bucket"))
-    sizes = stored(filed.groupBy("tab", "bucket").count().where("count > 1"), "buckets")
-    shared = filed.join(sizes, ["tab", "bucket"])
-
-    few = shared.where(F.col("count") <= CROWD).select(
-        "tab", "bucket", "fp", _distances(F.col("fp")).alias("row")
-    )
-    left, right = (
-        few.select("tab", "bucket", F.col("fp").alias(n), F.col("row").alias(f"row_{n}")) for n in "ab"
-    )
-    apart = F.zip_with("row_a", "row_b", lambda x, y: F.abs(x - y) > RADIUS)
-    survivors = left.join(right, ["tab", "bucket"]).where(
-        (F.col("a") < F.col("b")) & ~F.exists(apart, lambda x: x)
-    )
-    verified = survivors.where(
-        F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
-    ).select("tab", "a", "b")
-
-    crowded = shared.where(F.col("count") > CROWD).select("tab", "fp").distinct()
+def links(prints: DataFrame, reach: int = RADIUS) -> DataFrame:
+    """(tab, a, b, sure): enough sure links between distinct fingerprints (tab, fp) to connect all of
+    the same table that are within ``RADIUS`` bits of each other, and no others; and those pairs
+    of buckets that are not crowded which are within ``reach`` bits."""
+    prints = prints.select(F.col("tab").cast("long"), "fp")
+    filed = prints.select("fp", F.explode(_buckets()).alias("bucket"))
+    sizes = stored(filed.groupBy("bucket").count().where("count > 1"), "buckets")
+    shared = filed.join(sizes, "bucket")
+    tab = F.shiftrightunsigned("bucket", 40).alias("tab")
+
+    few = shared.where(F.col("count") <= CROWD).select("bucket", "fp", _distances(F.col("fp")).alias("row"))
+    left, right = (few.select("bucket", F.col("fp").alias(n), F.col("row").alias(f"row_{n}")) for n in "ab")
+    apart = F.zip_with("row_a", "row_b", lambda x, y: F.abs(x - y) > reach)
+    survivors = left.join(right, "bucket").where((F.col("a") < F.col("b")) & ~F.exists(apart, lambda x: x))
+    bits = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
+    verified = survivors.where(bits <= reach).select(tab, "a", "b", (bits <= RADIUS).alias("sure"))
+
+    crowded = shared.where(F.col("count") > CROWD).select(tab, "fp").distinct()
     around = F.expr("concat(array(fp), transform(sequence(0, 63), i -> fp ^ shiftleft(1L, i)))")
     places = crowded.select("tab", "fp", F.explode(around).alias("place"))
     met = places.groupBy("tab", "place").agg(F.min("fp").alias("first"), F.count("*").alias("n"))
     starred = (
         places.join(met.where("n > 1"), ["tab", "place"])
         .where("fp <> first")
-        .select("tab", F.col("fp").alias("a"), F.col("first").alias("b"))
+        .select("tab", F.col("fp").alias("a"), F.col("first").alias("b"), F.lit(True).alias("sure"))
     )
     return verified.unionByName(starred).distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, tables: int = 1) -> DataFrame:
+def _alike(pairs: DataFrame, classes: DataFrame, tables: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of classes whose fingerprints differ in no more bits than those of texts of this
+    similarity do, and one standard deviation.
+
+    Sets of shingles of Jaccard similarity s and like size have the cosine 2s / (1 + s); the
+    share of differing bits is the angle over pi."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    bits = 64 * tables
+    limit = bits * share + math.sqrt(bits * share * (1 - share))
+    a = classes.select(F.col("fp").alias("a"), F.col("prints").alias("of_a"))
+    b = classes.select(F.col("fp").alias("b"), F.col("prints").alias("of_b"))
+    differing = F.aggregate(
+        F.zip_with("of_a", "of_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, d: n + d
+    )
+    return pairs.join(a, "a").join(b, "b").where(differing <= limit).select("a", "b")
+
+
+def near_duplicates(
+    docs: DataFrame, shingle: int = SHINGLE, tables: int = 1, similarity: float = SIMILARITY
+) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, mark, fp, root, component_id.
 
     ``component_id`` is the smallest doc_id reachable through links, itself included; ``root``
@@ -157,20 +186,33 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, tables: int = 1) ->
     component without any id has a null one. Other columns of ``docs`` are ignored. An empty
     table gives an empty result."""
     rows = stored(fingerprints(docs, shingle, tables), "fingerprints")
-    classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
+    of_text = F.array("fp", *(f"fp{t}" for t in range(1, tables)))
+    classes = stored(
+        rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min(of_text).alias("prints")), "classes"
+    )
     # Every fingerprint of every table stands for the smallest first fingerprint it occurs with.
-    every = F.posexplode(F.array("fp", *(f"fp{t}" for t in range(1, tables)))).alias("tab", "print")
+    every = F.posexplode(of_text).alias("tab", "print")
     occurs = rows.select("fp", every).distinct()
     prints = stored(
         occurs.groupBy("tab", F.col("print").alias("fp")).agg(F.min("fp").alias("stands")), "prints"
     )
     a = prints.select("tab", F.col("fp").alias("a"), F.col("stands").alias("of_a"))
     b = prints.select("tab", F.col("fp").alias("b"), F.col("stands").alias("of_b"))
-    near = links(prints).join(a, ["tab", "a"]).join(b, ["tab", "b"]).select("of_a", "of_b")
-    edges = near.toDF("a", "b")
-    if tables > 1:
+    found = links(prints, REACH if tables > 1 else RADIUS)
+    near = found.join(a, ["tab", "a"]).join(b, ["tab", "b"])
+    if tables == 1:
+        edges = near.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    else:
+        low, high = F.least("of_a", "of_b").alias("a"), F.greatest("of_a", "of_b").alias("b")
+        met = near.where("of_a <> of_b").groupBy(low, high).agg(F.max("sure").alias("sure"))
+        met = stored(met, "met")
         same = occurs.join(a.withColumnRenamed("a", "print"), ["tab", "print"]).where("fp <> of_a")
-        edges = edges.unionByName(same.select(F.col("fp").alias("a"), F.col("of_a").alias("b")))
+        edges = (
+            met.where("sure")
+            .select("a", "b")
+            .unionByName(_alike(met.where("NOT sure").select("a", "b"), classes, tables, similarity))
+            .unionByName(same.select(F.col("fp").alias("a"), F.col("of_a").alias("b")))
+        )
     rooted = classes.join(connected(edges).withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
@@ -185,7 +227,7 @@ def query(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", text.alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, shingle: int = 5, tables: int = 8) -> DataFrame:
+def one_of_each(docs: DataFrame, shingle: int = 5, tables: int = 16) -> DataFrame:
     """One row of ``docs`` for each component: that with its smallest doc_id.
 
     Among rows with this id (or without id, where none has one) that with the smallest text

@@ -86,6 +86,27 @@ def test_one_document_of_each_group(spark):
     assert simhash.query(empty(spark)).count() == simhash.one_of_each(empty(spark)).count() == 0
 
 
+def test_one_of_each_joins_texts_of_similarity_four_fifths(spark):
+    rng = random.Random(4)
+    rows, group, shingles = [], {}, {}
+    for g in range(60):
+        words = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        for c in range(1 + g % 4):  # single, pairs, threes, fours
+            copy = list(words)
+            for _ in range(4 * c):
+                copy[rng.randrange(300)] = f"x{rng.randrange(5000)}"
+            i = len(rows)
+            rows.append((i, " ".join(copy), "en", "a"))
+            group[i], shingles[i] = g, {tuple(copy[k : k + 5]) for k in range(296)}
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs_of(spark, rows), 5, 16).collect()}
+    assert all(group[i] == group[c] for i, c in found.items())
+    near = [
+        (a, b) for a in group for b in range(a)
+        if group[a] == group[b] and len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b])
+    ]
+    assert len(near) > 40 and sum(found[a] == found[b] for a, b in near) >= 0.85 * len(near)
+
+
 def test_lines_equal_sql(spark):
     connection = duckdb.connect()
     connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
