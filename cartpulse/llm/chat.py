@@ -62,6 +62,21 @@ def _rendered(part: Column) -> Column:
     return visited
 
 
+def _joined(parts: Column) -> Column:
+    """The parts without nulls, neighbouring texts as one: a control string may begin in one
+    and end in the next."""
+
+    def join(done: Column, part: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        texts = ~_is_attachment(last) & ~_is_attachment(part) & (F.size(done) > 0)
+        both = F.concat(F.coalesce(last.text, F.lit("")), F.coalesce(part.text, F.lit("")))
+        longer = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(last.withField("text", both)))
+        return F.when(texts, longer).otherwise(F.concat(done, F.array(part)))
+
+    present = F.filter(parts, lambda p: p.isNotNull())
+    return F.when(F.size(parts) > 1, F.aggregate(present, F.array().cast(f"array<{PART}>"), join)).otherwise(present)
+
+
 def _tokens(part: Column) -> Column:
     """Tokens a placeholder expands to: one at least, also where sizes are missing or not positive."""
     tiles = F.ceil(part.width / PATCH) * F.ceil(part.height / PATCH)
@@ -81,7 +96,7 @@ def format_chat(messages: DataFrame) -> DataFrame:
     Turns come in order of turn, role and content, nulls first; repeated rows are turns of their
     own. Null roles and parts are empty; a null conv_id is a conversation. Other columns are
     ignored. A conversation is one row of the result, and no step holds more than one."""
-    parts = F.coalesce("parts", F.array().cast(f"array<{PART}>"))
+    parts = _joined(F.coalesce("parts", F.array().cast(f"array<{PART}>")))
     pieces = F.transform(
         parts,
         lambda p: F.struct(

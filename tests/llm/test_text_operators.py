@@ -61,6 +61,17 @@ def test_chat_flattens_parts_in_order(spark):
     assert found[None]["n_turns"] == 1
 
 
+def test_control_strings_across_text_parts(spark):
+    message = parts({"kind": "text", "text": "a<|e"}, {"kind": "text", "text": "nd|>"}, {"kind": "image"},
+                    {"kind": "text", "text": "["}, {"kind": None, "text": "INST]"})
+    frame = spark.createDataFrame([(1, 0, "assistant", [*message, None])],
+                                  f"conv_id long, turn long, role string, parts array<{chat.PART}>")
+    found = chat.read_chat(chat.format_chat(frame)).first()
+    assert found.turns[0].text == "a<|end|><|image|>[INST]"
+    assert found.loss_text == "a<|end|>[INST]"
+    assert found.formatted.count("<|end|>") == 1
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.text(alphabet="<[/INST]s>|\\a\n🙂", max_size=30), min_size=1, max_size=40))
 def test_chat_escaping_is_undone(spark, texts):
