@@ -20,11 +20,16 @@ Pairs are found among distinct fingerprints only:
 
 A text that differs from another in some words mostly has a fingerprint more than two bits away.
 ``tables`` > 1 takes more fingerprints of the same shingles, from hashes mixed again. Documents
-that any of them links are linked, whatever the buckets hold. On top of that, pairs within
-``REACH`` bits in a bucket of up to ``CROWD`` fingerprints (pivots discard the others) are
-verified on all their fingerprints together, whose share of differing bits measures the
-similarity of the texts. In crowded buckets a text has so many neighbours that some are within two
-bits in some table.
+that any of them links within two bits are linked, whatever the buckets hold. On top of that, texts
+are compared that share a MinHash key of the same shingles (``candidates``), on all their fingerprints
+together, whose share of differing bits measures the similarity of the texts.
+
+* Each of ``BANDS`` keys is made of ``ROWS`` minima. A pair of Jaccard similarity s shares a key with
+  probability 1 - (1 - s^5)^24: 0.9999 at 0.8.
+* All pairs of a bucket of up to ``MEMBERS`` texts are compared. In a larger one every text is compared
+  with the smallest, and all are filed again under two keys, and where these are crowded too
+  under three. Of pairs at 0.8 that meet in crowded buckets only, 0.986 share two such keys
+  and 0.76 three. The work is linear in the number of texts, whatever the buckets hold.
 """
 
 import math
@@ -42,11 +47,13 @@ from cartpulse.session import stored
 SHINGLE = 3
 SEED = 42
 RADIUS = 2
-REACH = 8
 SIMILARITY = 0.8
 PIVOTS = 32
 CROWD = 8
+BANDS, ROWS = 24, 5
+MEMBERS = 16
 _LANES = np.uint64(0x0101010101010101)
+_FLIPS, _FACTORS = np.random.default_rng(SEED).integers(1 << 63, size=(2, BANDS * ROWS, 1), dtype="<u8") * 2 + 1
 
 
 def _mixed(hashes: np.ndarray, tables: int) -> np.ndarray:
@@ -72,18 +79,34 @@ def _majorities(hashes: np.ndarray, tables: int) -> list[int]:
     return np.packbits(bits.reshape(tables, 64), axis=1, bitorder="little").view("<u8").ravel().tolist()
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE, tables: int = 1) -> list[int]:
-    """64-bit fingerprints of one text, unsigned; all 0 without words."""
+def _hashes(text: bytes, shingle: int) -> np.ndarray:
+    """Hashes of the shingles of one text, repeated ones as often as they occur; none without words."""
     words = common.words_of(text.lower())
     if not words:
-        return [0] * tables
+        return np.zeros(0, "<u8")
     if len(words) < shingle:
         shingles = [b" ".join(words)]
     else:
         shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(s, SEED) for s in shingles], dtype="<u8")
-    return _majorities(hashes, tables)
+    return np.array([digest(s, SEED) for s in shingles], dtype="<u8")
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE, tables: int = 1) -> list[int]:
+    """64-bit fingerprints of one text, unsigned; all 0 without words."""
+    hashes = _hashes(text, shingle)
+    return _majorities(hashes, tables) if len(hashes) else [0] * tables
+
+
+def _bands(hashes: np.ndarray) -> list[int]:
+    """``BANDS`` MinHash keys of the shingles; none without shingles."""
+    if not len(hashes):
+        return []
+    least = np.full(BANDS * ROWS, np.iinfo("<u8").max, "<u8")
+    for at in range(0, len(hashes), 255):
+        np.minimum(least, ((hashes[at : at + 255] ^ _FLIPS) * _FACTORS).min(axis=1), out=least)
+    rows = least.reshape(BANDS, ROWS)
+    return [xxhash.xxh64_intdigest(row.tobytes(), band) - (1 << 63) for band, row in enumerate(rows)]
 
 
 def _key(docs: DataFrame) -> list[Column]:
@@ -93,19 +116,30 @@ def _key(docs: DataFrame) -> list[Column]:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, tables: int = 1) -> DataFrame:
     """(doc_id, mark, fp, fp1, ...) for every row of ``docs``: a hash of the text and its fingerprints
-    as signed longs."""
+    as signed longs; with several ``tables`` also its MinHash keys (bands)."""
     common.small_batches(docs.sparkSession)
     names = ["doc_id", "mark", "fp", *(f"fp{t}" for t in range(1, tables))]
-    schema = pa.schema([(name, pa.int64()) for name in names])
+    fields = [(name, pa.int64()) for name in names]
+    ddl = ", ".join(f"{name} long" for name in names)
+    if tables > 1:
+        fields.append(("bands", pa.list_(pa.int64())))
+        ddl += ", bands array<long>"
+    schema = pa.schema(fields)
 
     def fingerprinted(batches):
         for rows in batches:
-            prints = [fingerprint(t, shingle, tables) for t in rows.column(2).to_pylist()]
-            columns = np.array(prints, np.uint64).reshape(-1, tables).T.copy().view(np.int64)
+            prints, bands = [], []
+            for text in rows.column(2).to_pylist():
+                hashes = _hashes(text, shingle)
+                prints.append(_majorities(hashes, tables) if len(hashes) else [0] * tables)
+                bands.append(_bands(hashes) if tables > 1 else None)
+            columns = [*np.array(prints, np.uint64).reshape(-1, tables).T.copy().view(np.int64)]
+            if tables > 1:
+                columns.append(bands)
             yield common.batch(schema, [rows.column(0), rows.column(1), *columns])
 
     rows = docs.select(*_key(docs), common.utf8(F.col("text")).alias("text"))
-    return rows.mapInArrow(fingerprinted, ", ".join(f"{name} long" for name in names))
+    return rows.mapInArrow(fingerprinted, ddl)
 
 
 def pivots() -> list[int]:
@@ -129,10 +163,9 @@ def _buckets() -> Column:
     return F.expr(f"array({', '.join(keys)})")
 
 
-def links(prints: DataFrame, reach: int = RADIUS) -> DataFrame:
-    """(tab, a, b, sure): enough sure links between distinct fingerprints (tab, fp) to connect all of
-    the same table that are within ``RADIUS`` bits of each other, and no others; and those pairs
-    of buckets that are not crowded which are within ``reach`` bits."""
+def links(prints: DataFrame) -> DataFrame:
+    """(tab, a, b): enough links between distinct fingerprints (tab, fp) to connect all of the same
+    table that are within ``RADIUS`` bits of each other, and no others."""
     prints = prints.select(F.col("tab").cast("long"), "fp")
     filed = prints.select("fp", F.explode(_buckets()).alias("bucket"))
     sizes = stored(filed.groupBy("bucket").count().where("count > 1"), "buckets")
@@ -141,10 +174,10 @@ def links(prints: DataFrame, reach: int = RADIUS) -> DataFrame:
 
     few = shared.where(F.col("count") <= CROWD).select("bucket", "fp", _distances(F.col("fp")).alias("row"))
     left, right = (few.select("bucket", F.col("fp").alias(n), F.col("row").alias(f"row_{n}")) for n in "ab")
-    apart = F.zip_with("row_a", "row_b", lambda x, y: F.abs(x - y) > reach)
+    apart = F.zip_with("row_a", "row_b", lambda x, y: F.abs(x - y) > RADIUS)
     survivors = left.join(right, "bucket").where((F.col("a") < F.col("b")) & ~F.exists(apart, lambda x: x))
     bits = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    verified = survivors.where(bits <= reach).select(tab, "a", "b", (bits <= RADIUS).alias("sure"))
+    verified = survivors.where(bits <= RADIUS).select(tab, "a", "b")
 
     crowded = shared.where(F.col("count") > CROWD).select(tab, "fp").distinct()
     around = F.expr("concat(array(fp), transform(sequence(0, 63), i -> fp ^ shiftleft(1L, i)))")
@@ -153,26 +186,60 @@ def links(prints: DataFrame, reach: int = RADIUS) -> DataFrame:
     starred = (
         places.join(met.where("n > 1"), ["tab", "place"])
         .where("fp <> first")
-        .select("tab", F.col("fp").alias("a"), F.col("first").alias("b"), F.lit(True).alias("sure"))
+        .select("tab", F.col("fp").alias("a"), F.col("first").alias("b"))
     )
     return verified.unionByName(starred).distinct()
 
 
-def _alike(pairs: DataFrame, classes: DataFrame, tables: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of classes whose fingerprints differ in no more bits than those of texts of this
-    similarity do, and one standard deviation.
+def _met(filed: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """(pairs, crowded) of rows (sign, key, ...): the pairs (a, b), a < b, to compare in every bucket, and
+    the rows of buckets of more than ``MEMBERS``, which give only the pairs with the smallest sign."""
+    sizes = filed.groupBy("key").agg(F.count("*").alias("n"), F.min("sign").alias("least"))
+    shared = filed.join(stored(sizes.where("n > 1"), name), "key")
+    few = shared.where(F.col("n") <= MEMBERS).select("key", "sign")
+    left, right = (few.select("key", F.col("sign").alias(side)) for side in "ab")
+    pairs = left.join(right, "key").where("a < b").select("a", "b")
+    crowded = shared.where(F.col("n") > MEMBERS)
+    starred = crowded.where("least < sign").select(F.col("least").alias("a"), F.col("sign").alias("b"))
+    return pairs.unionByName(starred).distinct(), crowded.drop("key", "n", "least")
+
+
+def candidates(texts: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of distinct texts (sign, bands) to compare: those that share a MinHash key, by
+    two and three keys where one is crowded. A text has at most ``BANDS`` + 6 x ``BANDS`` rows."""
+    band = F.posexplode("bands").alias("band", "key")
+    pairs, crowded = _met(texts.select("sign", band), "bands")
+    # Of two keys at most three places apart, both crowded; the third is ten to sixteen places on.
+    at = lambda i: f"bands[({i}) % {BANDS}]"
+    couples = F.expr(
+        f"flatten(transform(sequence(0, {BANDS - 1}), i -> transform(sequence(1, 3), o -> struct("
+        f"i AS i, (i + o) % {BANDS} AS j, xxhash64({at('i')}, {at('i + o')}, i, o) AS key, "
+        f"xxhash64({at('i')}, {at('i + o')}, {at('i + 3 * o + 7')}, i, o) AS third))))"
+    )
+    hot = stored(crowded.groupBy("sign").agg(F.collect_set("band").alias("hot")), "crowded")
+    both = F.array_contains("hot", F.col("c.i")) & F.array_contains("hot", F.col("c.j"))
+    filed = hot.join(texts, "sign").select("sign", "hot", F.explode(couples).alias("c")).where(both)
+    more, crowded = _met(filed.select("sign", "c.key", "c.third"), "couples")
+    last, _ = _met(crowded.withColumnRenamed("third", "key"), "triples")
+    return pairs.unionByName(more).unionByName(last).distinct()
+
+
+def _alike(pairs: DataFrame, texts: DataFrame, tables: int, similarity: float) -> DataFrame:
+    """Edges (a, b) of first fingerprints for the pairs (a, b) of texts (sign, fp, prints) whose
+    fingerprints differ in no more bits than those of texts of this similarity do, and one
+    standard deviation.
 
     Sets of shingles of Jaccard similarity s and like size have the cosine 2s / (1 + s); the
     share of differing bits is the angle over pi."""
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
     bits = 64 * tables
     limit = bits * share + math.sqrt(bits * share * (1 - share))
-    a = classes.select(F.col("fp").alias("a"), F.col("prints").alias("of_a"))
-    b = classes.select(F.col("fp").alias("b"), F.col("prints").alias("of_b"))
+    a, b = (texts.select(F.col("sign").alias(x), F.col("fp").alias(f"fp_{x}"), F.col("prints").alias(f"of_{x}")) for x in "ab")
     differing = F.aggregate(
         F.zip_with("of_a", "of_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, d: n + d
     )
-    return pairs.join(a, "a").join(b, "b").where(differing <= limit).select("a", "b")
+    near = pairs.join(a, "a").join(b, "b").where((F.col("fp_a") != F.col("fp_b")) & (differing <= limit))
+    return near.select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
 
 
 def near_duplicates(
@@ -187,9 +254,7 @@ def near_duplicates(
     table gives an empty result."""
     rows = stored(fingerprints(docs, shingle, tables), "fingerprints")
     of_text = F.array("fp", *(f"fp{t}" for t in range(1, tables)))
-    classes = stored(
-        rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min(of_text).alias("prints")), "classes"
-    )
+    classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
     # Every fingerprint of every table stands for the smallest first fingerprint it occurs with.
     every = F.posexplode(of_text).alias("tab", "print")
     occurs = rows.select("fp", every).distinct()
@@ -198,20 +263,17 @@ def near_duplicates(
     )
     a = prints.select("tab", F.col("fp").alias("a"), F.col("stands").alias("of_a"))
     b = prints.select("tab", F.col("fp").alias("b"), F.col("stands").alias("of_b"))
-    found = links(prints, REACH if tables > 1 else RADIUS)
-    near = found.join(a, ["tab", "a"]).join(b, ["tab", "b"])
-    if tables == 1:
-        edges = near.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
-    else:
-        low, high = F.least("of_a", "of_b").alias("a"), F.greatest("of_a", "of_b").alias("b")
-        met = near.where("of_a <> of_b").groupBy(low, high).agg(F.max("sure").alias("sure"))
-        met = stored(met, "met")
+    near = links(prints).join(a, ["tab", "a"]).join(b, ["tab", "b"])
+    edges = near.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    if tables > 1:
         same = occurs.join(a.withColumnRenamed("a", "print"), ["tab", "print"]).where("fp <> of_a")
-        edges = (
-            met.where("sure")
-            .select("a", "b")
-            .unionByName(_alike(met.where("NOT sure").select("a", "b"), classes, tables, similarity))
-            .unionByName(same.select(F.col("fp").alias("a"), F.col("of_a").alias("b")))
+        # Texts that agree in all fingerprints and keys are one.
+        signed = rows.select("fp", of_text.alias("prints"), "bands", F.xxhash64(of_text, "bands").alias("sign"))
+        texts = signed.groupBy("sign").agg(*[F.first(c).alias(c) for c in ("fp", "prints", "bands")])
+        texts = stored(texts, "texts")
+        pairs = candidates(texts.select("sign", "bands"))
+        edges = edges.unionByName(_alike(pairs, texts, tables, similarity)).unionByName(
+            same.select(F.col("fp").alias("a"), F.col("of_a").alias("b"))
         )
     rooted = classes.join(connected(edges).withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")

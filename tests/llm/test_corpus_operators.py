@@ -107,6 +107,29 @@ def test_one_of_each_joins_texts_of_similarity_four_fifths(spark):
     assert len(near) > 40 and sum(found[a] == found[b] for a, b in near) >= 0.85 * len(near)
 
 
+@pytest.mark.parametrize(("shared", "members", "least"), [(0, 16, 0.99), (215, 3, 0.95)])
+def test_pairs_of_similarity_four_fifths_are_candidates(spark, shared, members, least, monkeypatch):
+    """Isolated pairs, and pairs among texts that all share a passage, so that buckets are crowded."""
+    monkeypatch.setattr(simhash, "MEMBERS", members)
+    rng = random.Random(shared)
+    passage = [f"p{rng.randrange(5000)}" for _ in range(shared)]
+    pairs, rows = 150, []
+    for g in range(pairs):
+        words = passage + [f"w{rng.randrange(50000)}" for _ in range(300 - shared)]
+        copy = list(words)
+        for k in range(6):  # 30 of 296 shingles differ: similarity 266 / 326 = 0.816
+            copy[shared + 5 + k * 13] = f"x{g}"
+        rows += [(2 * g, " ".join(words), "en", "a"), (2 * g + 1, " ".join(copy), "en", "a")]
+    docs = docs_of(spark, rows)
+    texts = simhash.fingerprints(docs, 5, 16).select(F.col("doc_id").alias("sign"), "bands")
+    met = {(r.a, r.b) for r in simhash.candidates(texts).collect()}
+    assert sum((2 * g, 2 * g + 1) in met for g in range(pairs)) >= least * pairs
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, 5, 16).collect()}
+    # Some of the texts that share a passage are within two bits in some table.
+    assert sum(c // 2 != i // 2 for i, c in found.items()) <= (6 if shared else 0)
+    assert sum(found[2 * g] == found[2 * g + 1] for g in range(pairs)) >= 0.8 * pairs
+
+
 def test_lines_equal_sql(spark):
     connection = duckdb.connect()
     connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
