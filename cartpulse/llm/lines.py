@@ -12,6 +12,9 @@ source is a site of its own. Steps:
    above the band the estimate decides (its standard error at ``LG_K`` = 12 is 1.6 %).
 4. Boilerplate lines are cut from every document but the first that holds them, so that no
    text disappears altogether.
+
+Lines below ``MIN_CHARS`` characters (headings, single words) need ``SHORT_SITES`` sites; by the rule
+of op4, whose SQL leaves them out, they are never boilerplate. Blank lines never are.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -20,7 +23,8 @@ from pyspark.sql import functions as F
 from cartpulse.session import stored
 
 MIN_SITES = 5
-MIN_CHARS = 20  # shorter lines (headings, single words) are never boilerplate
+MIN_CHARS = 20
+SHORT_SITES = 10
 LG_K = 12
 BAND = 0.2
 _EDGE = " \t\r"
@@ -34,61 +38,72 @@ def _trimmed(line: Column) -> Column:
     return F.btrim(line, F.lit(_EDGE))
 
 
-def _long_enough(line: Column) -> Column:
-    return F.char_length(_trimmed(line)) >= MIN_CHARS
-
-
-def _hashes(text: Column) -> Column:
-    """Distinct hashes of the lines of a text that may count as boilerplate."""
-    long = F.filter(_split(text), _long_enough)
-    return F.array_distinct(F.transform(long, lambda line: F.xxhash64(_trimmed(line))))
-
-
-def _held(docs: DataFrame) -> DataFrame:
-    """(id, mark, site, line) once per document and line."""
+def _held(docs: DataFrame, least: int) -> DataFrame:
+    """(id, mark, site, line, short) once per document and line of at least ``least`` characters."""
+    trimmed = F.transform(_split(F.col("text")), _trimmed)
+    counted = F.filter(trimmed, lambda line: F.char_length(line) >= least)
+    hashed = F.transform(
+        counted,
+        lambda line: F.struct(
+            F.xxhash64(line).alias("line"), (F.char_length(line) < MIN_CHARS).alias("short")
+        ),
+    )
     return docs.select(
         F.col("doc_id").cast("long").alias("id"),
         F.xxhash64("text").alias("mark"),
         F.xxhash64("source").alias("site"),
-        F.explode(_hashes(F.col("text"))).alias("line"),
+        F.inline(F.array_distinct(hashed)),
     )
 
 
-def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, held: DataFrame | None = None) -> DataFrame:
-    """(line, first, spread) for lines on at least ``min_sites`` sites; ``first`` is the smallest
-    doc_id that holds the line, ``spread`` exact near the threshold and estimated above."""
-    held = _held(docs) if held is None else held
+def boilerplate(
+    docs: DataFrame,
+    min_sites: int = MIN_SITES,
+    held: DataFrame | None = None,
+    short_sites: int | None = None,
+) -> DataFrame:
+    """(line, first, spread) for lines on at least ``min_sites`` sites, short ones on ``short_sites`` (None:
+    left out); ``first`` is the smallest doc_id that holds the line, ``spread`` exact near the
+    threshold and estimated above."""
+    held = _held(docs, 1 if short_sites else MIN_CHARS) if held is None else held
+    needed = F.when(F.col("short"), F.lit(short_sites)).otherwise(F.lit(min_sites))
     several = stored(
         held.groupBy("line")
-        .agg(F.min("site").alias("low"), F.max("site").alias("high"), F.min("id").alias("first"))
-        .where((F.col("low") < F.col("high")) | F.lit(min_sites <= 1))
-        .select("line", "first"),
+        .agg(
+            F.min("site").alias("low"),
+            F.max("site").alias("high"),
+            F.min("id").alias("first"),
+            F.min("short").alias("short"),
+        )
+        .where((F.col("low") < F.col("high")) | (needed <= 1))
+        .select("line", "first", needed.alias("needed")),
         "several-sites",
     )
     sites = held.select("line", "site").join(several.select("line"), "line")
     estimated = stored(
         sites.groupBy("line")
         .agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_K))).alias("spread"))
-        .where(F.col("spread") >= min_sites * (1 - BAND)),
+        .join(several, "line")
+        .where(F.col("spread") >= F.col("needed") * (1 - BAND)),
         "spread",
     )
-    near = estimated.where(F.col("spread") <= min_sites * (1 + BAND)).select("line")
+    near = estimated.where(F.col("spread") <= F.col("needed") * (1 + BAND)).select("line")
     exact = (
         sites.join(near, "line").distinct().groupBy("line").agg(F.count("*").alias("exact"))
     )
     spread = F.coalesce("exact", "spread")
     return (
         estimated.join(exact, "line", "left")
-        .select("line", spread.alias("spread"))
-        .where(F.col("spread") >= min_sites)
-        .join(several, "line")
+        .where(spread >= F.col("needed"))
+        .select("line", "first", spread.alias("spread"))
     )
 
 
-def marked(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+def marked(docs: DataFrame, min_sites: int = MIN_SITES, short_sites: int | None = None) -> DataFrame:
     """Every row of ``docs`` as struct ``doc``, with the array ``cut`` of hashes to remove."""
-    held = stored(_held(docs), "lines")
-    spread = stored(boilerplate(docs, min_sites, held).select("line", "first"), "boilerplate")
+    held = stored(_held(docs, 1 if short_sites else MIN_CHARS), "lines")
+    found = boilerplate(docs, min_sites, held, short_sites)
+    spread = stored(found.select("line", "first"), "boilerplate")
     cuts = (
         held.join(spread, "line")
         .where(~F.col("id").eqNullSafe(F.col("first")))
@@ -105,19 +120,21 @@ def marked(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 
 
 def _remaining(text: Column, cut: Column) -> Column:
-    goes = lambda line: _long_enough(line) & F.array_contains(cut, F.xxhash64(_trimmed(line)))
+    goes = lambda line: F.array_contains(cut, F.xxhash64(_trimmed(line)))
     kept = F.array_join(F.filter(_split(text), lambda line: ~goes(line)), "\n")
     return F.when(F.size(cut) > 0, kept).otherwise(text)
 
 
-def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+def without_boilerplate(
+    docs: DataFrame, min_sites: int = MIN_SITES, short_sites: int | None = SHORT_SITES
+) -> DataFrame:
     """The rows of ``docs`` with boilerplate lines cut from ``text`` and ``n_chars`` recounted.
 
     Rows stay, even when no line remains; all columns keep their names and places. A null text
     stays null and an empty one empty; rows without id hold no first place. Repeated rows are
     cut alike. An empty table gives an empty result."""
     text = _remaining(F.col("doc.text"), F.col("cut"))
-    changed = marked(docs, min_sites).select("doc", text.alias("left"))
+    changed = marked(docs, min_sites, short_sites).select("doc", text.alias("left"))
     columns = []
     for name in docs.columns:
         if name == "text":

@@ -152,6 +152,15 @@ def test_boilerplate_goes_but_for_its_first_place(spark):
     assert same == {(r.doc_id, r.text, r.n_chars) for r in odd(spark).collect()}
 
 
+@pytest.mark.parametrize("sites", [9, 10, 11, 20])
+def test_short_lines_on_many_sites_go(spark, sites):
+    rows = [(i, f"own line number {i} of this page\n\n Share this \t", "en", f"s{i % sites}") for i in range(60)]
+    got = {r.doc_id: r.text for r in lines.without_boilerplate(docs_of(spark, rows)).collect()}
+    assert "Share this" in got[0]
+    assert all(("Share this" in got[i]) == (sites < lines.SHORT_SITES) for i in range(1, 60))
+    assert all(got[i].startswith(f"own line number {i} of this page\n") for i in got)
+
+
 @pytest.mark.parametrize("sites", [4, 5, 6, 7])
 def test_spread_near_the_threshold_is_exact(spark, sites):
     rows = [(i, "a line that is long enough to count", "en", f"site{i % sites}") for i in range(100)]
