@@ -8,10 +8,13 @@ from cartpulse.llm import (
     chat,
     contamination,
     contexttree,
+    firstfit,
     language,
     lines,
+    negatives,
     neighbours,
     packing,
+    phrases,
     rules,
     simhash,
     warc,
@@ -35,8 +38,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": _over(language.query, "documents"),
         "op9_context_tree": _over(contexttree.query, "documents"),
         "op10_quality_rules": _over(rules.query, "documents"),
+        "op11_hard_negatives": _over(negatives.query, "embeddings"),
+        "op12_first_fit_packing": _over(firstfit.query, "documents"),
+        "op13_collocations": _over(phrases.query, "documents"),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": chat.SQL, "op4_line_dedup": lines.SQL, "op5_warc": warc.SQL}
+    return {
+        "op1_chat_format": chat.SQL,
+        "op4_line_dedup": lines.SQL,
+        "op5_warc": warc.SQL,
+        "op11_hard_negatives": negatives.SQL,
+        "op13_collocations": phrases.SQL,
+    }
