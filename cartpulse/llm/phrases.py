@@ -366,20 +366,27 @@ WITH pieces AS (
     '[.,;:!?\\x0A-\\x0D]')) AS piece
   FROM documents),
 split AS (
-  SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
-starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split WHERE len(w) > 0),
-found AS (
-  SELECT lang, words, array_to_string(w[i : i + words - 1], ' ') AS phrase, count(*) AS f
-  FROM starts, (VALUES (1), (2), (3)) AS lengths(words)
-  WHERE i + words - 1 <= len(w) GROUP BY ALL),
+  SELECT row_number() OVER () AS id, lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w
+  FROM pieces),
+placed AS (SELECT id, lang, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM split),
+followed AS (
+  SELECT lang, w1, lead(w1, 1) OVER piece AS w2, lead(w1, 2) OVER piece AS w3
+  FROM placed WINDOW piece AS (PARTITION BY id ORDER BY i)),
+found AS MATERIALIZED (
+  SELECT lang, 1 AS words, w1 AS phrase, count(*) AS f FROM followed GROUP BY ALL
+  UNION ALL
+  SELECT lang, 2, w1 || ' ' || w2, count(*) FROM followed WHERE w2 IS NOT NULL GROUP BY ALL
+  UNION ALL
+  SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM followed WHERE w3 IS NOT NULL GROUP BY ALL),
 totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM found WHERE words = 1 GROUP BY lang),
 candidates AS (SELECT lang, words, phrase, string_split(phrase, ' ') AS w, f AS a FROM found WHERE words > 1 AND f >= 10),
+parts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1 : k], ' ') AS head, array_to_string(w[k + 1 : words], ' ') AS tail
+  FROM candidates, (VALUES (1), (2)) AS ks(k) WHERE k < words),
 cuts AS (
   SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r,
     (1000000 * CAST(c.a AS HUGEINT) * c.a) // (CAST(l.f AS HUGEINT) * r.f) AS score
-  FROM candidates c, (VALUES (1), (2)) AS ks(k), found l, found r
-  WHERE k < c.words AND l.lang = c.lang AND l.phrase = array_to_string(c.w[1 : k], ' ')
-    AND r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1 : c.words], ' ')),
+  FROM parts c JOIN found l ON l.lang = c.lang AND l.phrase = c.head JOIN found r ON r.lang = c.lang AND r.phrase = c.tail),
 worst AS (
   SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 covered AS (
