@@ -5,7 +5,7 @@ document that holds a passage within ``budget`` edits (insert, delete, replace)
 items of n characters ``ERROR_RATE`` x n edits, rounded down. An item is cut into budget + 1
 pieces; k edits leave at least one piece untouched, so an automaton over all pieces finds every
 possible passage by exact hits. Around each hit, Myers' bit-parallel distance (1999)
-decides on the passage.
+decides on the passage. Items too short for any edit match whole words only.
 
 Items are broadcast in blocks of at most ``BLOCK_CHARS`` characters; a larger benchmark takes
 another pass over the documents for each block, so no block grows with the data.
@@ -72,6 +72,10 @@ def best_passage(mask: dict[str, int], length: int, text: str) -> tuple[int, int
     return best, end
 
 
+def _whole_words(text: str, begin: int, end: int) -> bool:
+    return text[begin - 1 : begin] in ("", " ") and text[end : end + 1] in ("", " ")
+
+
 class Matcher:
     """Automaton over the pieces of one block of (item_id, normalised text)."""
 
@@ -98,6 +102,8 @@ class Matcher:
             for at, start in where:
                 _, size, errors, _ = self.items[at]
                 begin = last + 1 - length - start
+                if not errors and not _whole_words(text, begin, begin + size):
+                    continue
                 low, high = max(0, begin - errors), min(len(text), begin + size + errors)
                 spans = windows[at]
                 if spans and low <= spans[-1][1] and high >= spans[-1][0]:

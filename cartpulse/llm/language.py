@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartpulse.llm import common
+from cartpulse.session import stored
 
 DOCUMENTS = 256
 DICTIONARY = 256 * 1024
-LONGEST = DICTIONARY // 32  # longer documents are used only where a language has no shorter one
 TOTAL = 32 * 1024 * 1024
 BLOCK = 2048  # bytes compressed at a time, small against a dictionary
 LEVEL = 6
@@ -32,27 +32,33 @@ UNKNOWN = "und"
 def learn(docs: DataFrame, train) -> dict[str, bytes]:
     """Dictionary content by language, from rows that satisfy ``train`` and have text and lang.
 
-    In each language the document with the smallest hash of each of ``DOCUMENTS`` slots is used.
-    Whole texts are taken by hash while they fit; where none does, the shortest is cut to fit."""
+    A language has ``DOCUMENTS`` slots; each takes the document with the smallest hash among those short enough, at most
+    1/32 of the room of a dictionary. Their whole texts are taken by hash while they fit. A language without
+    short documents takes the beginning of its shortest. So at most 8 x ``TOTAL`` bytes reach the driver."""
     rows = docs.where(train).where("lang IS NOT NULL AND trim(text) <> ''")
     keyed = rows.select("lang", "text", F.xxhash64("doc_id", "text").alias("hash"))
+    room = min(DICTIONARY, TOTAL // max(1, rows.select("lang").distinct().count()))
+    size = F.octet_length("text")
+    short = size <= room // 32
     slots = (
-        keyed.groupBy("lang", F.pmod("hash", F.lit(DOCUMENTS)).alias("slot"))
-        .agg(F.min("hash").alias("hash"))
-        .select("lang", "hash")
+        keyed.where(short)
+        .groupBy("lang", F.pmod("hash", F.lit(DOCUMENTS)).alias("slot"))
+        .agg(F.min("hash").alias("hash"), F.min_by("text", "hash").alias("text"))
+    )
+    texts = stored(slots.select("lang", "hash", "text"), "slots")
+    long = (
+        keyed.where(~short)
+        .join(texts.select("lang").distinct(), "lang", "left_anti")
+        .groupBy("lang")
+        .agg(F.min("hash").alias("hash"), F.min_by(F.substring("text", 1, room), F.struct(size, "hash")).alias("text"))
     )
     found: dict[str, list[bytes]] = {}
-    languages = slots.select("lang").distinct().count()
-    room = min(DICTIONARY, TOTAL // max(1, languages))
-    texts = keyed.join(F.broadcast(slots), ["lang", "hash"]).select("lang", "hash", "text").distinct()
-    long = F.octet_length("text") > LONGEST
-    ordered = texts.orderBy("lang", long, F.when(long, F.octet_length("text")), "hash", "text")
-    for lang, _, text in ordered.toLocalIterator():
+    for lang, _, text in texts.unionByName(long).orderBy("lang", "hash").toLocalIterator():
         held = found.setdefault(lang, [])
         raw = text.lower().encode()
         if not held:
             held.append(raw[:room])
-        elif len(raw) <= LONGEST and sum(map(len, held)) + len(raw) < room:
+        elif sum(map(len, held)) + len(raw) < room:
             held.append(raw)
     return {lang: b"\n".join(held) for lang, held in found.items()}
 

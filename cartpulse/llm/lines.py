@@ -13,8 +13,8 @@ source is a site of its own. Steps:
 4. Boilerplate lines are cut from every document but the first that holds them, so that no
    text disappears altogether.
 
-Lines below ``MIN_CHARS`` characters (headings, single words) need ``SHORT_SITES`` sites; by the rule
-of op4, whose SQL leaves them out, they are never boilerplate. Blank lines never are.
+Every line but a blank one counts. Lines below ``MIN_CHARS`` characters (headings, single words) need
+``SHORT_SITES`` sites.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -38,10 +38,10 @@ def _trimmed(line: Column) -> Column:
     return F.btrim(line, F.lit(_EDGE))
 
 
-def _held(docs: DataFrame, least: int) -> DataFrame:
-    """(id, mark, site, line, short) once per document and line of at least ``least`` characters."""
+def _held(docs: DataFrame) -> DataFrame:
+    """(id, mark, site, line, short) once per document and line."""
     trimmed = F.transform(_split(F.col("text")), _trimmed)
-    counted = F.filter(trimmed, lambda line: F.char_length(line) >= least)
+    counted = F.filter(trimmed, lambda line: line != "")
     hashed = F.transform(
         counted,
         lambda line: F.struct(
@@ -60,12 +60,11 @@ def boilerplate(
     docs: DataFrame,
     min_sites: int = MIN_SITES,
     held: DataFrame | None = None,
-    short_sites: int | None = None,
+    short_sites: int = SHORT_SITES,
 ) -> DataFrame:
-    """(line, first, spread) for lines on at least ``min_sites`` sites, short ones on ``short_sites`` (None:
-    left out); ``first`` is the smallest doc_id that holds the line, ``spread`` exact near the
-    threshold and estimated above."""
-    held = _held(docs, 1 if short_sites else MIN_CHARS) if held is None else held
+    """(line, first, spread) for lines on at least ``min_sites`` sites, short ones on ``short_sites``; ``first`` is
+    the smallest doc_id that holds the line, ``spread`` exact near the threshold and estimated above."""
+    held = _held(docs) if held is None else held
     needed = F.when(F.col("short"), F.lit(short_sites)).otherwise(F.lit(min_sites))
     several = stored(
         held.groupBy("line")
@@ -99,9 +98,9 @@ def boilerplate(
     )
 
 
-def marked(docs: DataFrame, min_sites: int = MIN_SITES, short_sites: int | None = None) -> DataFrame:
+def marked(docs: DataFrame, min_sites: int = MIN_SITES, short_sites: int = SHORT_SITES) -> DataFrame:
     """Every row of ``docs`` as struct ``doc``, with the array ``cut`` of hashes to remove."""
-    held = stored(_held(docs, 1 if short_sites else MIN_CHARS), "lines")
+    held = stored(_held(docs), "lines")
     found = boilerplate(docs, min_sites, held, short_sites)
     spread = stored(found.select("line", "first"), "boilerplate")
     cuts = (
@@ -126,7 +125,7 @@ def _remaining(text: Column, cut: Column) -> Column:
 
 
 def without_boilerplate(
-    docs: DataFrame, min_sites: int = MIN_SITES, short_sites: int | None = SHORT_SITES
+    docs: DataFrame, min_sites: int = MIN_SITES, short_sites: int = SHORT_SITES
 ) -> DataFrame:
     """The rows of ``docs`` with boilerplate lines cut from ``text`` and ``n_chars`` recounted.
 
@@ -172,10 +171,10 @@ WITH lines AS (
   SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS raw FROM documents
 ), held AS (
   SELECT doc_id, source, trim(raw, ' ' || chr(9) || chr(13)) AS line FROM lines
-  WHERE length(trim(raw, ' ' || chr(9) || chr(13))) >= {MIN_CHARS}
+  WHERE trim(raw, ' ' || chr(9) || chr(13)) <> ''
 ), spread AS (
   SELECT line, min(doc_id) AS first FROM held GROUP BY line
-  HAVING count(DISTINCT coalesce(source, chr(0))) >= {MIN_SITES}
+  HAVING count(DISTINCT coalesce(source, chr(0))) >= CASE WHEN length(line) < {MIN_CHARS} THEN {SHORT_SITES} ELSE {MIN_SITES} END
 ), cuts AS (
   SELECT doc_id, list(DISTINCT line) AS cut FROM held JOIN spread USING (line)
   WHERE doc_id <> first GROUP BY doc_id

@@ -2,12 +2,14 @@
 
 Per document: counts and rates of symbols, repeated lines and repeated 5-word windows, and the mean
 word length. Per language and source, mergeable KLL sketches of each rate are merged
-further to languages and to all documents; a group of fewer than ``MIN_GROUP`` documents takes the
-thresholds of its language, and that of a small language those of all. The upper
-threshold of a rate is its third quartile plus ``SPREAD`` times the distance between the
-quartiles, and at least ``TOLERANCE`` above the third quartile, so a group without outliers
-loses nothing. Mean word length has a lower threshold too. Documents join their thresholds and are
-kept when within them.
+further to languages and to all documents.
+
+The upper threshold of a rate is its quantile ``UPPER`` plus ``SPREAD`` times the distance from the median to there. Where that
+distance is below the unit of the rate in the group, the unit stands for it: one symbol, one repeated line, one repeated window
+or one word of double length in a text of median length there. Mean word length has a lower threshold too, by the quantile
+1 - ``UPPER``. The thresholds of a group are averaged with those of its language, and these with those of all documents,
+weighted by documents against ``WEIGHT``, so small groups lean on what is around them. Documents join
+their thresholds and are kept when within them. Nothing is fixed but these parameters.
 """
 
 import pyarrow as pa
@@ -20,16 +22,12 @@ from cartpulse.session import stored
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-MIN_GROUP = 200
+WEIGHT = 200
 SKETCH_K = 4096  # rank error below 0.1 %
-SPREAD = 3.0
-# rate: (tolerance, has a lower threshold)
-RATES = {
-    "symbol_rate": (0.1, False),
-    "line_rate": (0.3, False),
-    "repeat_rate": (0.2, False),
-    "word_length": (3.0, True),
-}
+UPPER = 0.8
+SPREAD = 6.0
+RATES = ("symbol_rate", "line_rate", "repeat_rate", "word_length")
+_SKETCHED = (*RATES, "n_words", "n_lines")
 _SYMBOLS = b"#*$%&|<>"
 _SPACE = b" \t\n\x0b\x0c\r"
 
@@ -101,63 +99,74 @@ def measured(docs: DataFrame) -> DataFrame:
     )
 
 
-def _bounds(sketch: Column, tolerance: float, both: bool) -> list[Column]:
-    low = F.kll_sketch_get_quantile_double(sketch, F.lit(0.25))
-    high = F.kll_sketch_get_quantile_double(sketch, F.lit(0.75))
-    reach = F.greatest(SPREAD * (high - low), F.lit(tolerance))
-    return [high + reach, low - reach if both else F.lit(float("-inf"))]
-
-
-def _with_bounds(groups: DataFrame, *keys: str) -> DataFrame:
+def _bounds(groups: DataFrame, *keys: str) -> DataFrame:
+    """(keys, n, bounds): per rate the own thresholds of each group, and whether the unit decided the upper one."""
+    at = lambda c, q: F.kll_sketch_get_quantile_double(F.col(c), F.lit(q))
+    words = F.greatest(at("n_words", 0.5), F.lit(1.0))
+    units = {
+        "symbol_rate": 1 / words,
+        "line_rate": 1 / F.greatest(at("n_lines", 0.5), F.lit(1.0)),
+        "repeat_rate": WINDOW / words,
+        "word_length": at("word_length", 0.5) / words,
+    }
     columns = []
-    for rate, (tolerance, both) in RATES.items():
-        top, bottom = _bounds(F.col(rate), tolerance, both)
-        columns += [top.alias(f"{rate}_max"), bottom.alias(f"{rate}_min")]
+    for rate in RATES:
+        low, middle, high = at(rate, 1 - UPPER), at(rate, 0.5), at(rate, UPPER)
+        columns += [
+            (high + SPREAD * F.greatest(high - middle, units[rate])).alias(f"{rate}_max"),
+            (low - SPREAD * F.greatest(middle - low, units[rate])).alias(f"{rate}_min"),
+            (high - middle < units[rate]).alias(f"{rate}_by_unit"),
+        ]
     return groups.select(*keys, "n", F.struct(*columns).alias("bounds"))
 
 
-def thresholds(rates: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """(lang, source, bounds) for every group among ``rates``; nulls are values like any other."""
+def _mixed(n: Column, own: Column, around: Column, weight: float) -> Column:
+    """Own thresholds averaged with those around, by ``n`` documents against ``weight``."""
+    fields = [f"{rate}_{end}" for rate in RATES for end in ("max", "min")]
+    return F.struct(
+        *[((n * own[f] + weight * around[f]) / (n + weight)).alias(f) for f in fields],
+        *[own[f"{rate}_by_unit"].alias(f"{rate}_by_unit") for rate in RATES],
+    )
+
+
+def thresholds(rates: DataFrame, weight: float = WEIGHT) -> DataFrame:
+    """(lang, source, n, bounds) for every group among ``rates``; nulls are values like any other."""
     sketches = stored(
         rates.groupBy("lang", "source").agg(
             F.count("*").alias("n"),
-            *[F.kll_sketch_agg_double(rate, F.lit(SKETCH_K)).alias(rate) for rate in RATES],
+            *[F.kll_sketch_agg_double(F.col(c).cast("double"), F.lit(SKETCH_K)).alias(c) for c in _SKETCHED],
         ),
         "sketches",
     )
-    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(r, F.lit(SKETCH_K)).alias(r) for r in RATES]]
-    fine = _with_bounds(sketches, "lang", "source")
-    by_lang = _with_bounds(sketches.groupBy("lang").agg(*merged), "lang").select(
-        F.col("lang").alias("of"), F.col("n").alias("of_n"), F.col("bounds").alias("of_bounds")
-    )
-    total = _with_bounds(sketches.agg(*merged).where("n > 0")).select(F.col("bounds").alias("all_bounds"))
-    # One row at most: bounds of all documents.
-    wide = fine.join(by_lang, fine["lang"].eqNullSafe(by_lang["of"])).join(F.broadcast(total))
-    chosen = (
-        F.when(F.col("n") >= min_group, F.col("bounds"))
-        .when(F.col("of_n") >= min_group, F.col("of_bounds"))
-        .otherwise(F.col("all_bounds"))
+    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(c, F.lit(SKETCH_K)).alias(c) for c in _SKETCHED]]
+    total = _bounds(sketches.agg(*merged).where("n > 0")).select(F.col("bounds").alias("all_bounds"))
+    # One row at most: thresholds of all documents.
+    languages = _bounds(sketches.groupBy("lang").agg(*merged), "lang").join(F.broadcast(total)).select(
+        F.col("lang").alias("of"), _mixed(F.col("n"), F.col("bounds"), F.col("all_bounds"), weight).alias("around")
     )
-    return wide.select("lang", "source", chosen.alias("bounds"))
+    fine = _bounds(sketches, "lang", "source")
+    wide = fine.join(languages, fine["lang"].eqNullSafe(languages["of"]))
+    return wide.select("lang", "source", "n", _mixed(F.col("n"), F.col("bounds"), F.col("around"), weight).alias("bounds"))
 
 
-def judge(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+def judge(docs: DataFrame, weight: float = WEIGHT) -> DataFrame:
     """One row per row of ``docs``: its counts, base_failed and kept.
 
     Null and empty texts have no words and fail the base rule. Documents that fail it do not
     shape the thresholds. Repeated rows count and appear as often as they occur; other
-    columns are ignored. An empty table gives an empty result."""
+    columns are ignored. An empty table gives an empty result. Sketches of more than ``SKETCH_K`` values draw
+    random bits, so in larger groups a document within 0.1 % of rank of a threshold may be judged otherwise in another run."""
     rates = stored(measured(docs), "rates")
-    bounds = thresholds(rates.where("NOT base_failed"), min_group).select(
+    bounds = thresholds(rates.where("NOT base_failed"), weight).select(
         F.col("lang").alias("of_lang"), F.col("source").alias("of_source"), "bounds"
     )
     match = rates["lang"].eqNullSafe(bounds["of_lang"]) & rates["source"].eqNullSafe(bounds["of_source"])
-    within = F.lit(True)
+    within = F.col("word_length") >= F.col("bounds.word_length_min")
     for rate in RATES:
-        value = F.col(rate)
-        within &= (value <= F.col(f"bounds.{rate}_max")) & (value >= F.col(f"bounds.{rate}_min"))
+        within &= F.col(rate) <= F.col(f"bounds.{rate}_max")
     kept = ~F.col("base_failed") & F.coalesce(within, F.lit(False))
     return rates.join(bounds, match, "left").select("doc_id", *_COUNTS, "base_failed", kept.alias("kept"))
 
 
-query = judge
+def query(docs: DataFrame) -> DataFrame:
+    return judge(docs)

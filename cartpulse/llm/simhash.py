@@ -217,8 +217,9 @@ def candidates(texts: DataFrame) -> DataFrame:
         f"xxhash64({at('i')}, {at('i + o')}, {at('i + 3 * o + 7')}, i, o) AS third))))"
     )
     hot = stored(crowded.groupBy("sign").agg(F.collect_set("band").alias("hot")), "crowded")
-    both = F.array_contains("hot", F.col("c.i")) & F.array_contains("hot", F.col("c.j"))
-    filed = hot.join(texts, "sign").select("sign", "hot", F.explode(couples).alias("c")).where(both)
+    both = lambda c: F.array_contains("hot", c["i"]) & F.array_contains("hot", c["j"])
+    # Filtered inside the array: a text gives a row only for two crowded keys.
+    filed = hot.join(texts, "sign").select("sign", F.explode(F.filter(couples, both)).alias("c"))
     more, crowded = _met(filed.select("sign", "c.key", "c.third"), "couples")
     last, _ = _met(crowded.withColumnRenamed("third", "key"), "triples")
     return pairs.unionByName(more).unionByName(last).distinct()

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cartpulse.llm import chat, contexttree, language, neighbours, rules
 
@@ -205,7 +206,7 @@ def test_code_table_is_context_tree_weighting():
 
 def test_context_tree_learns_and_takes_odd_input(spark):
     rows = [(i, SENTENCES["en"] * 3, "en", "a") for i in range(40)] + [(50, "qzxj " * 40, "en", "a")]
-    found = {r.doc_id: r for r in contexttree.score(docs_of(spark, rows), docs_of(spark, rows).doc_id < 40).collect()}
+    found = {r.doc_id: r for r in contexttree.score(docs_of(spark, rows), F.col("doc_id") < 40).collect()}
     assert found[1].bits_per_byte < 2 < found[50].bits_per_byte
     scored = contexttree.query(odd(spark)).collect()
     assert sorted(str(r.doc_id) for r in scored) == ["1", "2", "3", "4", "4", "5", "6", "7", "None"]
@@ -231,9 +232,10 @@ def test_rule_counts(text):
 
 def test_rules_adapt_by_group(spark):
     plain = " ".join(f"w{i}" for i in range(30))
+    marks = " ".join(f"#{i}" for i in range(20))  # no window twice
     rows = [(i, plain + f" x{i}", "en", "a") for i in range(300)]
-    rows += [(1000 + i, plain + f" x{i} " + "### " * 20, "en", "b") for i in range(300)]
-    rows += [(2000, plain + " ### " * 20, "en", "a"), (2001, "short", "en", "a")]
+    rows += [(1000 + i, plain + f" x{i} " + marks, "en", "b") for i in range(300)]
+    rows += [(2000, plain + " " + marks, "en", "a"), (2001, "short", "en", "a")]
     found = {r.doc_id: r for r in rules.judge(docs_of(spark, rows)).collect()}
     # The same text is an outlier in one source and usual in another.
     assert not found[2000].kept and not found[2000].base_failed
@@ -241,3 +243,47 @@ def test_rules_adapt_by_group(spark):
     assert found[2001].base_failed and not found[2001].kept
     judged = rules.judge(odd(spark)).collect()
     assert len(judged) == 9 and rules.judge(empty(spark)).count() == 0
+
+
+def brute_bounds(rows):
+    """Thresholds of one group of (counts, lines), from sorted values."""
+    at = lambda values, q: sorted(values)[max(0, math.ceil(q * len(values)) - 1)]
+    n = [c[0] for c, _ in rows]
+    rates = {
+        "symbol_rate": [c[2] / c[0] for c, _ in rows], "line_rate": [c[3] / k for c, k in rows],
+        "repeat_rate": [c[4] / c[0] for c, _ in rows], "word_length": [c[1] / c[0] for c, _ in rows],
+    }
+    words = at(n, 0.5)
+    units = (1 / words, 1 / at([k for _, k in rows], 0.5), 5 / words, at(rates["word_length"], 0.5) / words)
+    out = {}
+    for (rate, values), unit in zip(rates.items(), units, strict=True):
+        low, middle, high = (at(values, q) for q in (1 - rules.UPPER, 0.5, rules.UPPER))
+        out[rate] = (low - 6 * max(middle - low, unit), high + 6 * max(high - middle, unit))
+    return out
+
+
+def test_kept_equals_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    groups, base = {}, {}
+    for r in docs.collect():
+        counts, lines = rules.measure((r.text or "").encode()), (r.text or "").count("\n") + 1
+        if counts[0] >= 10 and 100 * counts[4] <= 20 * counts[0]:
+            base[r.doc_id] = (r.lang, r.source, counts, lines)
+            for key in ((r.lang, r.source), (r.lang,), ()):
+                groups.setdefault(key, []).append((counts, lines))
+    own = {key: brute_bounds(rows) for key, rows in groups.items()}
+    size = {key: len(rows) for key, rows in groups.items()}
+
+    def mixed(n, a, b):
+        return {k: tuple((n * x + 200 * y) / (n + 200) for x, y in zip(a[k], b[k], strict=True)) for k in a}
+
+    want = {}
+    for i, (lang, source, c, k) in base.items():
+        around = mixed(size[lang,], own[lang,], own[()])
+        bounds = mixed(size[lang, source], own[lang, source], around)
+        rates = {"symbol_rate": c[2] / c[0], "line_rate": c[3] / k, "repeat_rate": c[4] / c[0]}
+        inside = all(v <= bounds[r][1] + 1e-12 for r, v in rates.items())
+        want[i] = inside and bounds["word_length"][0] <= c[1] / c[0] <= bounds["word_length"][1]
+    got = {r.doc_id: r.kept for r in rules.query(docs).collect()}
+    assert got == {i: want.get(i, False) for i in got}
+    assert len(set(want.values())) == 2
