@@ -12,7 +12,7 @@ full is dealt into sequences whose lengths are powers of two, which need no padd
 
 Token ids are looked up by segment. The pattern of a byte-level tokenizer never joins certain neighbouring
 characters (a letter and a following space, for one), so the text is cut there and every distinct
-segment is tokenized once per worker, as long as ``KNOWN`` segments are remembered.
+segment is tokenized once per worker; about ``KNOWN`` segments are remembered.
 """
 
 import functools
@@ -30,7 +30,7 @@ from cartpulse.session import stored
 CAPACITY = 2048
 GROUP = 4096
 END = 1
-KNOWN = 600_000
+KNOWN = 1_000_000
 _OTHER, _LETTER, _DIGIT, _PUNCT, _SPACE, _LINE, _QUOTE = range(7)
 
 
@@ -62,10 +62,13 @@ def _apart() -> np.ndarray:
 
 _CLASS, _APART = _classes(), _apart()
 _SOLID = np.isin(np.arange(7), (_LETTER, _DIGIT, _PUNCT, _QUOTE))
+_SOLID_BYTES = frozenset(np.flatnonzero(_SOLID[_CLASS]).tolist())
 
 
 def segments(text: bytes) -> list[bytes]:
     """The text cut between characters that no token spans."""
+    if not text:
+        return []
     data = np.frombuffer(text, np.uint8)
     kind = _CLASS[data]
     lead = np.flatnonzero(data[:-1] == 0xC3)  # U+00C0 to U+00FF: letters but for two signs
@@ -91,18 +94,46 @@ class Encoder:
         self.model = Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json"))
         self.model.encode_special_tokens = True  # their strings are ordinary text
         self.dtype = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
+        self.sizes = np.zeros(self.model.get_vocab_size(), np.int64)  # a character of a token stands for a byte
+        for token, at in self.model.get_vocab().items():
+            self.sizes[at] = len(token)
         self.most, self.ids = known, {}
 
+    def _ids(self, text: bytes) -> np.ndarray:
+        found = self.model.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)
+        return np.array(found[0].ids, self.dtype)
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Tokenizes new segments: those from a space to a solid character as one text, which no token spans
+        between two of them, and then told apart by the bytes of the tokens."""
+        pooled, alone = [], []
+        for segment in new:
+            whole = segment[0] == 32 and segment[-1] in _SOLID_BYTES
+            (pooled if whole else alone).append(segment)
+        ids = self._ids(b"".join(pooled))
+        ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(s) for s in pooled])) + 1
+        data, width, begin = ids.tobytes(), self.dtype.itemsize, 0
+        for segment, end in zip(pooled, ends.tolist(), strict=True):
+            self.ids[segment] = data[begin * width : end * width]
+            begin = end
+        for segment in alone:
+            self.ids[segment] = self._ids(segment).tobytes()
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        parts = [segments(t) for t in texts]
-        new = list({s for p in parts for s in p if s not in self.ids})
-        if len(self.ids) + len(new) > self.most:
+        if len(self.ids) > self.most:
             self.ids.clear()
-            new = list({s for p in parts for s in p})
-        found = self.model.encode_batch_fast([s.decode("utf-8", "replace") for s in new], add_special_tokens=False)
-        for segment, encoding in zip(new, found, strict=True):
-            self.ids[segment] = np.array(encoding.ids, self.dtype).tobytes()
-        return [b"".join(map(self.ids.__getitem__, p)) for p in parts]
+        parts = [segments(t) for t in texts]
+        held = [list(map(self.ids.get, p)) for p in parts]
+        lacking = []
+        for i, ids in enumerate(held):
+            at = -1
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                lacking.append((i, at))
+        self._learn(list({parts[i][at] for i, at in lacking}))
+        for i, at in lacking:
+            held[i][at] = self.ids[parts[i][at]]
+        return [b"".join(ids) for ids in held]
 
 
 @functools.cache
