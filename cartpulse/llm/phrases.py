@@ -28,7 +28,7 @@ from cartpulse.session import stored
 
 WORDS = 3
 LEAST = 10
-SHARD = 1 << 19
+SHARD = 1 << 18
 TOP = 2000
 KEEP_PERCENT = 50
 SCALE = 1_000_000
@@ -254,16 +254,15 @@ def _longer(index_rows: DataFrame, length: int, maps: list[np.ndarray]) -> DataF
 
     def extended(batches):
         for rows in batches:
-            for lang, words, forward, backward in zip(
-                rows.column(0).to_pylist(), rows.column(1), rows.column(2).to_pylist(), rows.column(3).to_pylist(), strict=True
-            ):
+            for i, lang in enumerate(rows.column(0).to_pylist()):
+                words, forward, backward = (rows.column(c)[i] for c in (1, 2, 3))
                 words = words.values
-                if forward is None:  # a correction
+                if not forward.is_valid:  # a correction
                     tail = words.to_pylist()
                     phrases = [b" ".join(tail[i : i + length]) for i in range(len(tail) - length + 1)]
                     counts = [-1] * len(phrases)
                 else:
-                    texts = (np.frombuffer(t, "<i4") for t in (forward, backward))
+                    texts = (np.frombuffer(t.as_buffer(), "<i4") for t in (forward, backward))
                     phrases, counts = enumerate_phrases(lang, Index(*texts, len(words) + 1), words, length, shared.value)
                 if len(phrases):
                     yield common.batch(_COUNTED, [[lang] * len(phrases), phrases, counts])
