@@ -1,10 +1,13 @@
 """Analysis of load runs, worker trials, latency logs and cluster samples."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cartpulse.functions.metrics import round_exact
 from cartpulse.functions.timebuckets import latency_ms, minute_of
 from cartpulse.operators.ordered import with_previous
+from cartpulse.session import stored
+
+CELLS = 512
 
 
 def parse_latency_log(log: DataFrame, message: str = "message", experiment_id: str | None = None) -> DataFrame:
@@ -26,38 +29,76 @@ def percentiles(
 ) -> DataFrame:
     """Exact interpolated percentiles of the known values per group, named by ``points``.
 
-    Rows are first counted per distinct value, which combines before the exchange; a
-    window then walks over the distinct values of a group and can spill. ``others`` are
-    further aggregates over the counted rows, which carry the column ``rows``.
+    Rows are first counted per distinct value, which combines before the exchange. The values at the
+    wanted ranks are then found by selection (``values_at``), without sorting a group. ``others``
+    are further aggregates over the counted rows, which carry the column ``rows``.
     """
-    known = rows.filter(F.col(value).isNotNull())
-    counted = known.groupBy(*groups, value).agg(F.count("*").alias("rows"))
-    group = Window.partitionBy(*groups)
-    upto = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counted.withColumns(
-        {"_end": F.sum("rows").over(upto), "_last": F.sum("rows").over(group) - 1}
+    known = rows.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    counted = stored(known.groupBy(*groups, value).agg(F.count("*").alias("rows")), "values")
+    totals = counted.groupBy(*groups).agg(F.sum("rows").alias("rows"), *others)
+    last = F.col("rows") - 1
+    ranks = [f(F.lit(share) * last) for share in points.values() for f in (F.floor, F.ceil)]
+    keyed = lambda df: df.withColumn("_group", F.struct(F.lit(0).alias("_"), *groups))
+    wanted = keyed(totals).select("_group", F.array_distinct(F.array(*ranks)).alias("ranks"))
+    found = values_at(keyed(counted).select("_group", F.col(value).alias("value"), "rows"), wanted)
+    looked_up = found.groupBy("_group").agg(
+        F.map_from_entries(F.collect_list(F.struct("rank", F.col("value").cast("double")))).alias("_at")
     )
-
-    def at(rank: Column) -> Column:
-        here = (rank < F.col("_end")) & (rank >= F.col("_end") - F.col("rows"))
-        return F.max(F.when(here, F.col(value)))
-
-    found, results = [], []
+    results = []
     for name, share in points.items():
-        rank = F.lit(share) * F.col("_last")
+        rank = F.lit(share) * last
         below, above = F.floor(rank), F.ceil(rank)
-        found += [
-            at(below).alias(f"_{name}_below"),
-            at(above).alias(f"_{name}_above"),
-            F.max(above - rank).alias(f"_{name}_to_above"),
-            F.max(rank - below).alias(f"_{name}_from_below"),
-        ]
-        low, high = F.col(f"_{name}_below").cast("double"), F.col(f"_{name}_above").cast("double")
-        mixed = F.col(f"_{name}_to_above") * low + F.col(f"_{name}_from_below") * high
-        results.append(F.when(F.col(f"_{name}_from_below") == 0, low).otherwise(mixed).alias(name))
-    totals = ranked.groupBy(*groups).agg(*found, F.sum("rows").alias("rows"), *others)
-    shown = [c for c in totals.columns if not c.startswith("_")]
-    return totals.select(*shown, *results)
+        low, high = F.col("_at")[below], F.col("_at")[above]
+        mixed = (above - rank) * low + (rank - below) * high
+        results.append(F.when(rank - below == 0, low).otherwise(mixed).alias(name))
+    return keyed(totals).join(looked_up, "_group").select(*totals.columns, *results)
+
+
+def values_at(counted: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(_group, rank, value): the value at each wanted rank, from 0, among the rows of a group in order.
+
+    ``counted`` has _group, value and its number of rows, ``wanted`` _group and an array of ranks. The range of
+    values that holds a rank is cut into ``CELLS`` of equal width, rows are counted by cell, and only the cell
+    with the rank is looked at again, from its lowest to its highest value, until that is one value.
+    Every pass is one aggregation of at most ``CELLS`` rows a range, whatever a group holds."""
+    whole = counted.groupBy("_group").agg(
+        F.min("value").alias("low"), F.max("value").alias("high"), F.lit(0).cast("bigint").alias("before")
+    )
+    ranges = stored(whole.join(wanted, "_group"), "ranges")
+    found = []
+    while True:
+        single = ranges.filter("low = high")
+        found.append(single.select("_group", F.explode("ranks").alias("rank"), F.col("low").alias("value")))
+        wide = ranges.filter("low < high")
+        if wide.isEmpty():
+            break
+        place = (F.col("value") - F.col("low")).cast("double") / (F.col("high") - F.col("low")).cast("double")
+        cell = F.least(F.floor(place * CELLS), F.lit(CELLS - 1)).alias("cell")
+        key = ["_group", "low", "before"]
+        cells = (
+            counted.join(wide.select(*key, "high"), "_group")
+            .filter("value BETWEEN low AND high")
+            .groupBy(*key, cell)
+            .agg(F.sum("rows").alias("n"), F.min("value").alias("from"), F.max("value").alias("to"))
+        )
+        listed = cells.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("cell", "n", "from", "to"))).alias("cells"))
+        # Cells with the number of rows before each one.
+        summed = listed.withColumn(
+            "cells",
+            F.expr(
+                "transform(cells, (c, i) -> struct(c.from AS low, c.to AS high, c.n AS n, "
+                "before + aggregate(slice(cells, 1, i), 0L, (a, x) -> a + x.n) AS before))"
+            ),
+        )
+        ranked = wide.select(*key, F.explode("ranks").alias("rank")).join(summed, key)
+        holder = ranked.select(
+            "_group", "rank", F.inline(F.filter("cells", lambda c: (c["before"] <= F.col("rank")) & (F.col("rank") < c["before"] + c["n"])))
+        )
+        ranges = stored(holder.groupBy("_group", "low", "high", "before").agg(F.collect_set("rank").alias("ranks")), "ranges")
+    result = found[0]
+    for part in found[1:]:
+        result = result.unionByName(part)
+    return result
 
 
 def latency_statistics(records: DataFrame, *groups: str) -> DataFrame:

@@ -15,6 +15,14 @@ _NORMAL = {
 }
 
 
+def of_products(rows: DataFrame, recent: DataFrame) -> DataFrame:
+    """The rows whose product is among the recent ones. A semi join: few products are broadcast to the
+    scan, by Spark's own check of their size; many meet the rows in a shuffle, behind a Bloom filter
+    where Spark expects it to pay."""
+    keys = recent.select(F.col("product_id").alias("_recent"))
+    return rows.join(keys, F.col("product_id").cast("string") == F.col("_recent"), "left_semi")
+
+
 def compare(
     recent: DataFrame, baseline: DataFrame, threshold: float = UNUSUAL_LIFT, order: str | None = None
 ) -> DataFrame:
@@ -23,13 +31,13 @@ def compare(
     Left join on one row per product each side; a product without a baseline gets zero
     normal activity, no lift and no flag. Averages missing from the baseline table count
     as zero. Where the baseline repeats a product its last row counts: that with the highest
-    ``order``, or without one the last row read. The aggregation leaves the rows where
-    the join needs them.
+    ``order``, or without one the last row read. Only rows of recent products are aggregated, and
+    the aggregation leaves them where the join needs them.
     """
     if order is None:
         order = "_row"
         baseline = baseline.withColumn(order, F.monotonically_increasing_id())
-    baseline = last_baseline_row(baseline, order)
+    baseline = last_baseline_row(of_products(baseline, recent), order)
     normal = baseline.select(
         "product_id",
         *[

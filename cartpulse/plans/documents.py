@@ -114,7 +114,11 @@ def trending_now(
     candidates: int | None = None,
 ) -> DataFrame:
     """The flagship question: which products are unusually active right now? Events to
-    ranked products, with the baseline taken from ``history`` (default: the same events)."""
+    ranked products, with the baseline taken from ``history`` (default: the same events). Only the history of
+    recent products is aggregated."""
     recent = trailing.product_counts(trailing.in_window(events, window))
-    normal = build_baseline(events if history is None else history, window)
-    return serving.trending(recent, normal, n, candidates)
+    if candidates is not None:
+        recent = trailing.top_products(recent, candidates)
+    history = serving.of_products(events if history is None else history, recent)
+    normal = build_baseline(history, window)
+    return serving.trending(recent, normal, n)

@@ -200,6 +200,24 @@ hops AS (
   FROM ev, unnest({offsets}) AS t(o))"""
 
 
+def _series(window: str) -> str:
+    """Counts over a range of time, less the events of the same moment that come later in the stream."""
+    def count(kind: str, by: str) -> str:
+        only = f"FILTER (event_type = '{kind}')" if kind else ""
+        parts = f"PARTITION BY {by}" if by else ""
+        return (
+            f"count(*) {only} OVER ({parts} ORDER BY event_time RANGE BETWEEN INTERVAL '{window}' PRECEDING AND CURRENT ROW)"
+            f" - count(*) {only} OVER (PARTITION BY {by + ', ' if by else ''}event_time ORDER BY seq"
+            " ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"
+        )
+
+    kinds = {"views": "view", "carts": "cart", "removals": "remove_from_cart", "purchases": "purchase"}
+    counts = ", ".join(f"{count(kind, 'product_id')} AS {name}" for name, kind in kinds.items())
+    return f"""WITH {_EVENTS}, counted AS (
+        SELECT seq, event_time, product_id, {counts}, {count('', '')} AS events_in_window FROM ev)
+        SELECT *, views + 3 * carts + 5 * purchases AS trend_score FROM counted"""
+
+
 def oracle_sql() -> dict[str, str]:
     day = f"{_EVENTS}, {_recent('1 day')}"
     trending_columns = (
@@ -275,6 +293,8 @@ def oracle_sql() -> dict[str, str]:
                  WHEN cart_to_purchase_dropoff IS NOT NULL THEN 'cart_to_purchase'
                  WHEN view_to_cart_dropoff IS NOT NULL THEN 'view_to_cart' END AS larger_loss FROM funnel""",
         "top_products": f"WITH {day}, {_PRODUCTS} SELECT * FROM products ORDER BY trend_score DESC, product_id LIMIT 5",
+        "trailing_series": _series("1 day"),
+        "trailing_series_5m": _series("5 minutes"),
         "serving_merge": f"WITH {_DAY_COMPARED} SELECT * FROM compared",
         "serving_top": f"WITH {_DAY_COMPARED} SELECT removals, {trending_columns} FROM compared {_RANK} LIMIT 5",
         "serving_candidates": f"""WITH {_DAY_COMPARED} SELECT removals, {trending_columns} FROM

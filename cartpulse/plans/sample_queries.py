@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cartpulse import schema, session
 from cartpulse.operators import (
     abandonment, baseline, experiments, minutes, normalise, ordered, quality, replay, revenue,
-    serving, trailing,
+    series, serving, trailing,
 )
 from cartpulse.plans import documents
 from cartpulse.sinks import payloads, tables
@@ -262,6 +262,14 @@ def top_products(spark, sf_dir):
     return trailing.top_products(trailing_product_activity(spark, sf_dir))
 
 
+def trailing_series(spark, sf_dir):
+    return series.trailing_series(sample.shop_events(spark, sf_dir), DAY)
+
+
+def trailing_series_5m(spark, sf_dir):
+    return series.trailing_series(sample.shop_events(spark, sf_dir))
+
+
 # --- serving --------------------------------------------------------------------------
 
 
@@ -577,7 +585,7 @@ _QUERIES = (
     product_baseline_daily, product_baseline_joined, product_baseline_all_windows,
     historical_dropoff, baseline_export, baseline_last_row, event_copies, revenue_by_brand,
     revenue_by_product, trailing_product_activity, trailing_product_activity_5m, trailing_funnel,
-    window_event_totals, active_sessions, clock_summary, larger_loss, top_products, serving_merge,
+    window_event_totals, active_sessions, clock_summary, larger_loss, top_products, trailing_series, trailing_series_5m, serving_merge,
     serving_top, serving_candidates, threshold_sensitivity, trending_now, snapshot_document,
     serving_document, minute_product_buckets, minute_health, bucket_keys, health_keys,
     five_bucket_view, day_bucket_view, hopping_view, retained_buckets, abandoned_carts,

@@ -182,3 +182,47 @@ def test_backlog_age(spark):
     events = events_of(spark, EIGHT[:3], processed_at=lambda i: at([0.5, 1.25, 2.75][i]))
     assert experiments.largest_backlog_age(events).first()[0] == 45_000
     assert [r.max_age_ms for r in experiments.backlog_age(events).orderBy("minute").collect()] == [30_000, 15_000, 45_000]
+
+
+@pytest.mark.parametrize("values", ["hashes", "micros", "numbers"])
+def test_chunks_are_bounded_whatever_the_order(spark, monkeypatch, values):
+    monkeypatch.setattr(ordered, "CHUNK", 500)
+    order = {
+        "hashes": F.xxhash64("id"), "micros": F.col("id") * 1_000_003 + (F.col("id") % 7) ** 9 * 1000, "numbers": F.col("id"),
+    }[values]
+    rows = spark.range(20_000).select(order.cast("long").alias("seq"), "id")
+    sizes = [r["count"] for r in ordered.in_chunks(rows, "seq").groupBy("_chunk").count().collect()]
+    assert len(sizes) >= 20 and max(sizes) <= 2000
+    got = [r.position for r in ordered.with_position(rows, "seq").orderBy("seq").collect()]
+    assert got == list(range(20_000))
+
+
+@pytest.mark.parametrize("spread", [1, 50, 10**15])
+def test_values_at_ranks(spark, spread):
+    rng = random.Random(spread)
+    data = [(rng.choice("ab") if i % 3 else "hot", rng.choice((rng.randint(0, 20), rng.randint(0, spread))) * rng.choice((1, 1, -1)) * 0.1)
+            for i in range(3000)] + [("one", 7.5), ("two", None), ("three", float("nan"))]
+    rows = spark.createDataFrame(data, "g string, v double")
+    points = {"low": 0.0, "quarter": 0.25, "median": 0.5, "most": 0.95, "top": 1.0}
+    got = {r.g: r for r in experiments.percentiles(rows, ["g"], "v", points, F.max("v").alias("most_v")).collect()}
+    groups = {}
+    for g, v in data:
+        if v is not None and v == v:
+            groups.setdefault(g, []).append(v)
+    assert set(got) == set(groups)
+    for g, held in groups.items():
+        held.sort()
+        for name, share in points.items():
+            rank = share * (len(held) - 1)
+            low, high = int(rank // 1), int(-(-rank // 1))
+            want = held[low] if low == high else (high - rank) * held[low] + (rank - low) * held[high]
+            assert got[g][name] == want
+        assert got[g]["rows"] == len(held) and got[g].most_v == held[-1]
+
+
+def test_percentiles_sort_no_group(spark):
+    rows = spark.range(1000).select((F.col("id") % 3).alias("g"), "id")
+    found = experiments.percentiles(rows, ["g"], "id", {"median": 0.5})
+    assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert experiments.percentiles(rows.limit(0), ["g"], "id", {"median": 0.5}).count() == 0
+    assert experiments.percentiles(rows, [], "id", {"median": 0.5}).first().median == 499.5

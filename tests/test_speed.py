@@ -1,11 +1,12 @@
 import datetime as dt
 import random
 
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from conftest import EIGHT, T0, at, events_of, naive
-from cartpulse.operators import abandonment, asof, trailing
+from cartpulse.operators import abandonment, asof, ordered, series, trailing
 from cartpulse.plans import documents
 
 
@@ -207,3 +208,36 @@ def test_forward_lookup_equals_brute_force(spark):
     expected = {p: min((x for x in points if x >= p), default=None) for p in probes}
     assert {r[0]: r[1] for r in found.collect()} == expected
     assert found.count() == len(expected)
+
+
+@pytest.mark.parametrize("chunk", [1 << 20, 16])
+def test_series_is_the_state_after_each_event(spark, monkeypatch, chunk):
+    monkeypatch.setattr(ordered, "CHUNK", chunk)
+    rng = random.Random(chunk)
+    clock, rows = 0.0, []
+    for i in range(250):
+        clock += rng.choice((0, 0, 0.5, 1, 5))  # many events share a moment
+        kind = rng.choice(("view", "cart", "purchase", "remove_from_cart"))
+        rows.append((clock, kind, "hot" if i % 3 == 0 else str(rng.randint(0, 3)), "s"))
+    got = {r.seq: r for r in series.trailing_series(events_of(spark, rows)).collect()}
+    assert len(got) == len(rows)
+    for i, (minute, _, product, _) in enumerate(rows):
+        held = [r for r in rows[: i + 1] if r[0] >= minute - 5]
+        mine = [kind for _, kind, p, _ in held if p == product]
+        want = [mine.count(k) for k in ("view", "cart", "remove_from_cart", "purchase")]
+        row = got[i]
+        assert [row.views, row.carts, row.removals, row.purchases, row.events_in_window] == [*want, len(held)]
+        assert row.trend_score == want[0] + 3 * want[1] + 5 * want[3] and row.product_id == product
+
+
+def test_series_of_eight(spark, eight):
+    last = series.trailing_series(eight.filter("seq < 7")).orderBy("seq").collect()[-1]
+    assert (last.product_id, last.views, last.carts, last.trend_score, last.events_in_window) == ("200", 1, 1, 4, 5)
+    assert series.trailing_series(eight.limit(0)).count() == 0
+
+
+def test_series_windows_stay_in_chunks(spark, eight, monkeypatch):
+    monkeypatch.setattr(ordered, "CHUNK", 2)
+    plan = series.trailing_series(eight)._jdf.queryExecution().optimizedPlan().toString()
+    raw = [line for line in plan.splitlines() if "Window [" in line and "_here_" in line]
+    assert len(raw) == 2 and all("_chunk" in line.split("], [")[1] for line in raw)
