@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 # Rows per Arrow batch handed to Python: whole texts are long, so batches stay small.
 BATCH_ROWS = 512
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,10 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch of whole texts can hold in a worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) != BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Bound what one Arrow batch of whole texts can hold in a worker, by rows and by bytes. The settings stay in
+    the session: plans are lazy, and Spark reads them when a job starts."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        if spark.conf.get(key, None) != str(most):
+            spark.conf.set(key, str(most))
 
 
 def fold(doc_id: Column, folds: int) -> Column:
