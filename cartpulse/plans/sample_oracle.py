@@ -390,6 +390,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT *, {_DROPS} FROM stage_row""",
         "stream_abandonment": f"""WITH {_EVENTS}, {_signals('5 days', flush=True)}
             SELECT session_id, product_id, cart_time, deadline FROM signals""",
+        "stream_signals": f"WITH {long_signals} SELECT {signal_columns} FROM signals",
+        "stream_cart_counters": f"""WITH {long_signals} SELECT (SELECT count(*) FROM pending) AS pending_carts,
+            (SELECT count(*) FROM signals) AS abandoned_cart_signals_total,
+            (SELECT count(*) FROM pending) AS pending_rows, (SELECT max(deadline) FROM pending) AS last_deadline""",
         "stream_dedup": f"""WITH {_EVENTS}, {_hops('[0]', '10 minutes', '10 minutes')}
             SELECT window_start, window_end, product_id, {_COUNTS} FROM hops GROUP BY ALL""",
         "stream_late": f"""WITH {_EVENTS} SELECT seq, event_time, product_id, session_id FROM ev l

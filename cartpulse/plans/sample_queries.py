@@ -17,7 +17,7 @@ from cartpulse.operators import (
 from cartpulse.plans import documents
 from cartpulse.sinks import payloads, tables
 from cartpulse.sources import files, records, sample_tables as sample
-from cartpulse.streaming import inputs, outputs, views
+from cartpulse.streaming import inputs, outputs, signals, views
 
 DAY = "1 day"
 LONG_TIMEOUT = "5 days"
@@ -492,6 +492,46 @@ def _clocked(spark, sf_dir):
     return inputs.on_clock(_pieces(spark, sf_dir), LATENESS)
 
 
+FILES = 4  # of a piece of the ordered feed, and of a micro-batch
+
+
+def _in_order(spark, sf_dir):
+    """The events as a stream of five pieces in order of time, spread over files, on a clock that allows for the
+    disorder inside a piece, and a row that brings the clock just past the last event."""
+    events = sample.canonical(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    at = F.unix_micros("event_time")
+    first, last = events.agg(F.min(at), F.max(at)).first()
+    width = -(-(last - first + 1) // 5000) * 1000
+    path = session.scratch_path(spark, "ordered-feed")
+    for piece in range(5):
+        low = first + piece * width
+        rows = events.filter((at >= low) & (at < low + width))
+        rows.repartition(FILES, "seq").write.mode("append").parquet(path)
+    end = F.timestamp_micros(F.lit(last + width + 2000))
+    inputs.closing_row(spark, events.schema, end).write.mode("append").parquet(path)
+    feed = inputs.table_files(spark, f"{path}/*.parquet", events.schema, max_files=FILES)
+    return inputs.on_clock(feed, f"{width} microseconds")
+
+
+def _live_carts(spark, sf_dir):
+    """(folder of cart changes, folder of the clock) after a whole feed."""
+    events = _in_order(spark, sf_dir)
+    changes = signals.cart_changes(events, LONG_TIMEOUT)
+    carts = _run(spark, "live-carts", lambda out, check: outputs.live_carts(changes, out, check))
+    clock = _run(spark, "clock", lambda out, check: outputs.event_clock(events, out, check))
+    return carts, clock
+
+
+def stream_signals(spark, sf_dir):
+    return outputs.read_signals(spark, *_live_carts(spark, sf_dir))
+
+
+def stream_cart_counters(spark, sf_dir):
+    carts, _ = _live_carts(spark, sf_dir)
+    pending = outputs.read_pending(spark, carts).agg(F.count("*").alias("pending_rows"), F.max("deadline").alias("last_deadline"))
+    return outputs.read_cart_counters(spark, carts).crossJoin(pending)
+
+
 def _run(spark, name, start):
     """Runs a query over everything that is there; returns the folder it filled."""
     root = session.scratch_path(spark, name)
@@ -593,7 +633,7 @@ _QUERIES = (
     latency_stats, backlog_age, largest_backlog_age, load_run_throughput, load_run_summary,
     load_run_csv, throughput_over_time, worker_speedup, scaling_changes, scaling_observed,
     stream_minute_buckets, stream_minute_health, stream_hopping_trend, stream_funnel,
-    stream_abandonment, stream_dedup, stream_late, stream_route, stream_archive, stream_serving,
+    stream_abandonment, stream_signals, stream_cart_counters, stream_dedup, stream_late, stream_route, stream_archive, stream_serving,
 )
 
 

@@ -5,10 +5,12 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from cartpulse.functions.timebuckets import interval
+from cartpulse.operators.abandonment import with_detection
 from cartpulse.operators.serving import compare
 from cartpulse.schema import TOP_N, UNUSUAL_LIFT
 from cartpulse.sinks.payloads import keyed_records
 from cartpulse.sources.files import read_baseline
+from cartpulse.streaming import signals
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
@@ -57,6 +59,59 @@ def compact_totals(spark: SparkSession, path: str, target: str, now, *keys: str)
     current.write.mode("overwrite").parquet(f"{target}/batch_id=-1")
 
 
+def live_carts(changes: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Keeps the cart changes (``signals.cart_changes``) and the running numbers of pending and signalled carts.
+
+    Each micro-batch stores its changes and the numbers after it under its own number; the numbers
+    before it are those of the last batch, so a repeated batch replaces itself and a reader of the
+    numbers reads one row."""
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
+        new = spark.read.schema(batch.schema).parquet(f"{path}/changes/batch_id={batch_id}")
+        opened, closed, signalled = (
+            F.count_if(F.col("change") == kind) for kind in (signals.OPENED, signals.CLOSED, signals.SIGNALLED)
+        )
+        numbers = new.agg((opened - closed - signalled).alias("pending_carts"), signalled.alias("abandoned_cart_signals_total"))
+        if batch_id:
+            before = spark.read.parquet(f"{path}/counters/batch_id={batch_id - 1}")
+            numbers = numbers.unionByName(before).agg(*[F.sum(c).alias(c) for c in numbers.columns])
+        numbers.write.mode("overwrite").parquet(f"{path}/counters/batch_id={batch_id}")
+
+    return _start(changes.writeStream.outputMode("update").foreachBatch(store), checkpoint, every)
+
+
+def event_clock(events: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """The distinct moments of a stream on a clock, by date: what detection times are looked up in."""
+    times = events.select("event_time").dropDuplicates(["event_time"])
+    return append_table(times.withColumn("event_date", F.to_date("event_time")), path, checkpoint, every, "event_date")
+
+
+def read_signals(spark: SparkSession, path: str, clock: str) -> DataFrame:
+    """All signals so far with ``detected_at``: the first event of any kind at or after the deadline."""
+    changes = spark.read.option("basePath", f"{path}/changes").parquet(f"{path}/changes/batch_id=*")
+    found = changes.filter(F.col("change") == signals.SIGNALLED).drop("change", "batch_id")
+    times = spark.read.parquet(clock)
+    first = found.agg(F.to_date(F.min("deadline"))).scalar()
+    return with_detection(found, times.filter(F.col("event_date") >= first), F.lit(None).cast("timestamp"))
+
+
+def read_pending(spark: SparkSession, path: str) -> DataFrame:
+    """Carts that are open now: opened last and neither closed nor signalled."""
+    changes = spark.read.option("basePath", f"{path}/changes").parquet(f"{path}/changes/batch_id=*")
+    ended = F.count_if(F.col("change") != signals.OPENED)
+    carts = changes.groupBy("session_id", "product_id", "cart_time", "deadline").agg((F.count("*") - 2 * ended).alias("open"))
+    return carts.filter("open > 0").drop("open")
+
+
+def read_cart_counters(spark: SparkSession, path: str) -> DataFrame:
+    """One row: pending carts and signals so far, after the newest micro-batch."""
+    stored = spark.read.option("basePath", f"{path}/counters").parquet(f"{path}/counters/batch_id=*")
+    newest = stored.agg(F.max("batch_id")).scalar()
+    return stored.filter(F.col("batch_id") == newest).drop("batch_id")
+
+
 def late_rows(
     events: DataFrame, path: str, checkpoint: str, delay: str, every: str | None = None, strict: bool = False
 ) -> StreamingQuery:

@@ -10,7 +10,7 @@ from cartpulse import schema
 from cartpulse.operators import abandonment, baseline, minutes, normalise, serving
 from cartpulse.sinks import payloads, tables
 from cartpulse.sources import files
-from cartpulse.streaming import inputs, outputs, views
+from cartpulse.streaming import inputs, outputs, signals, views
 
 COLUMNS = [*schema.EVENT_COLUMNS, "seq", "processed_at", "experiment_id"]
 
@@ -257,3 +257,34 @@ def test_updated_at_is_the_processing_time(feed):
     out = feed.run(lambda o, c: outputs.upsert_totals(views.minute_counters(feed.stream()), o, c))
     newest = outputs.read_totals(feed.spark, out, "bucket", "product_id").agg(F.max("updated_at")).first()[0]
     assert newest == events.agg(F.max("processed_at")).first()[0]
+
+
+@pytest.mark.parametrize("pieces", [1, 5])
+def test_live_carts_equal_the_batch_form(feed, pieces):
+    rows = some_events()
+    events = full(feed.spark, rows)
+    size = -(-len(rows) // pieces)
+    for i in range(pieces):
+        feed.add(events.filter((F.col("seq") >= i * size) & (F.col("seq") < (i + 1) * size)))
+    last = at(rows[-1][0])
+    feed.add(inputs.closing_row(feed.spark, events.schema, F.lit(last + dt.timedelta(seconds=60, milliseconds=2))))
+    stream = feed.stream("60 seconds")
+    out = feed.run(lambda o, c: outputs.live_carts(signals.cart_changes(stream, "7 minutes"), o, c), "carts")
+    clock = feed.run(lambda o, c: outputs.event_clock(stream, o, c), "clock")
+    got = outputs.read_signals(feed.spark, out, clock)
+    want = abandonment.abandoned_carts(events, "7 minutes")
+    assert want.count() > 20 and same(got, want)
+    pending = abandonment.pending_carts(events, "7 minutes")
+    assert pending.count() and same(outputs.read_pending(feed.spark, out), pending)
+    counters = outputs.read_cart_counters(feed.spark, out).first()
+    assert (counters.pending_carts, counters.abandoned_cart_signals_total) == (pending.count(), want.count())
+
+
+def test_a_signal_comes_once_and_a_restart_moves_it(feed):
+    feed.add(full(feed.spark, [(0, "cart", "p", "s"), (2, "cart", "p", "s"), (1, "cart", "p", "t"), (3, "purchase", "p", "t")]))
+    feed.add(full(feed.spark, [(20, "view", "q", "x")]))
+    feed.add(full(feed.spark, [(40, "view", "q", "x"), (41, "purchase", "p", "s")]))
+    out = feed.run(lambda o, c: outputs.live_carts(signals.cart_changes(feed.stream("1 second")), o, c))
+    changes = feed.spark.read.parquet(f"{out}/changes/*").filter("change = 'signalled'").collect()
+    assert [(r.session_id, r.cart_time) for r in changes] == [("s", naive(2))]
+    assert outputs.read_cart_counters(feed.spark, out).first().asDict() == {"pending_carts": 0, "abandoned_cart_signals_total": 1}
