@@ -119,6 +119,8 @@ buckets AS (
   SELECT date_trunc('minute', event_time) AS bucket, product_id, {_COUNTS},
     (epoch_us(max(event_time)) + 172800000000) // 1000000 AS expires_at, max(processed_at) AS updated_at
   FROM ev GROUP BY ALL)"""
+_KEPT = """
+kept AS (SELECT * FROM buckets WHERE expires_at > (SELECT epoch_us(max(updated_at)) // 1000000 FROM buckets))"""
 _HEALTH = """
 health AS (
   SELECT date_trunc('minute', event_time) AS bucket, experiment_id, count(*) AS event_count,
@@ -381,6 +383,13 @@ def oracle_sql() -> dict[str, str]:
             count(*) FILTER (event_type = 'view') AS views, count(*) FILTER (event_type = 'cart') AS carts,
             count(*) FILTER (event_type = 'remove_from_cart') AS removals, count(*) FILTER (event_type = 'purchase') AS purchases,
             (epoch_us(max(event_time)) + 172800000000) // 1000000 AS expires_at, max(processed_at) AS updated_at FROM ev GROUP BY ALL""",
+        "stream_live_table": f"WITH {_EVENTS}, {_MINUTES}, {_KEPT} SELECT bucket, product_id, views, carts, removals, purchases, expires_at, updated_at FROM kept",
+        "stream_live_top": f"""WITH {_EVENTS}, {_MINUTES}, {_KEPT},
+            products AS (SELECT product_id, {_MINUTE_TOTALS} FROM kept
+              WHERE bucket > (SELECT max(bucket) - INTERVAL '1 day' FROM kept) GROUP BY 1),
+            {_baseline('1 day')}, {_COMPARED}
+            SELECT product_id, views, carts, purchases, trend_score, activity_lift, is_unusually_trending
+            FROM compared {_RANK} LIMIT 5""",
         "stream_minute_health": f"WITH {_EVENTS}, {_HEALTH} SELECT * FROM health",
         "stream_hopping_trend": f"""WITH {_EVENTS}, {_hops('[0, 1, 2, 3, 4]', '1 minute', '5 minutes')}
             SELECT window_start, window_end, product_id, {_COUNTS} FROM hops GROUP BY ALL""",

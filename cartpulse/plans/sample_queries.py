@@ -17,7 +17,7 @@ from cartpulse.operators import (
 from cartpulse.plans import documents
 from cartpulse.sinks import payloads, tables
 from cartpulse.sources import files, records, sample_tables as sample
-from cartpulse.streaming import inputs, outputs, signals, views
+from cartpulse.streaming import inputs, livetable, outputs, signals, views
 
 DAY = "1 day"
 LONG_TIMEOUT = "5 days"
@@ -551,6 +551,28 @@ def stream_minute_buckets(spark, sf_dir):
     return outputs.read_totals(spark, path, "bucket", "product_id")
 
 
+BUCKET_KEYS = ("bucket", "product_id")
+
+
+def stream_live_table(spark, sf_dir):
+    counters = views.minute_counters(_in_order(spark, sf_dir))
+    path = _run(
+        spark, "live-table", lambda out, check: livetable.live_table(counters, out, check, BUCKET_KEYS, fanout=2, keep=3)
+    )
+    return livetable.read_live(spark, path, BUCKET_KEYS)
+
+
+def stream_live_top(spark, sf_dir):
+    """The last day of the live table against the baseline, as of the newest bucket."""
+    counters = views.minute_counters(_in_order(spark, sf_dir))
+    path = _run(spark, "live-top", lambda out, check: livetable.live_table(counters, out, check, BUCKET_KEYS, fanout=3))
+    buckets = livetable.read_live(spark, path, BUCKET_KEYS)
+    recent = minutes.latest_buckets_view(buckets, window=DAY).drop("removals")
+    return serving.trending(recent, product_baseline_daily(spark, sf_dir)).select(
+        "product_id", "views", "carts", "purchases", "trend_score", "activity_lift", "is_unusually_trending"
+    )
+
+
 def stream_minute_health(spark, sf_dir):
     health = views.minute_health(_clocked(spark, sf_dir))
     path = _run(spark, "health", lambda out, check: outputs.upsert_totals(health, out, check))
@@ -632,7 +654,7 @@ _QUERIES = (
     abandoned_carts_15m, abandoned_carts_flush, overdue_carts, pending_carts, latest_signals, latency_log_parse,
     latency_stats, backlog_age, largest_backlog_age, load_run_throughput, load_run_summary,
     load_run_csv, throughput_over_time, worker_speedup, scaling_changes, scaling_observed,
-    stream_minute_buckets, stream_minute_health, stream_hopping_trend, stream_funnel,
+    stream_minute_buckets, stream_live_table, stream_live_top, stream_minute_health, stream_hopping_trend, stream_funnel,
     stream_abandonment, stream_signals, stream_cart_counters, stream_dedup, stream_late, stream_route, stream_archive, stream_serving,
 )
 

@@ -41,20 +41,46 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
     return builder.getOrCreate()
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder; on a cluster a
-    missing setting is an error, because driver-local paths are not shared.
+    Only a local master may fall back to a temporary folder, one for each application; on a
+    cluster a missing setting is an error, because driver-local paths are not shared.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="cartpulse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="cartpulse-")
+    return _local_folders[context.applicationId]
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _place(spark, path)
+    return files.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a file or folder wherever Spark can reach it; what is not there counts as removed."""
+    files, place = _place(spark, path)
+    files.delete(place, True)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Removes all intermediate tables below the shared folder. Call it when no DataFrame made from
+    them is in use any more, such as at the end of a job."""
+    remove(spark, f"{shared_folder(spark)}/cartpulse")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -13,7 +13,7 @@ from cartpulse.sources.files import read_baseline
 from cartpulse.streaming import signals
 
 
-def _start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
+def start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
     """``every`` sets the micro-batch interval; None processes what is there and stops."""
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
@@ -26,7 +26,7 @@ def append_table(
     writer = rows.writeStream.outputMode("append").format("parquet").option("path", path)
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    return _start(writer, checkpoint, every)
+    return start(writer, checkpoint, every)
 
 
 def archive(events: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -42,7 +42,7 @@ def upsert_totals(counters: DataFrame, path: str, checkpoint: str, every: str |
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return _start(counters.writeStream.outputMode("update").foreachBatch(store), checkpoint, every)
+    return start(counters.writeStream.outputMode("update").foreachBatch(store), checkpoint, every)
 
 
 def read_totals(spark: SparkSession, path: str, *keys: str) -> DataFrame:
@@ -79,7 +79,7 @@ def live_carts(changes: DataFrame, path: str, checkpoint: str, every: str | None
             numbers = numbers.unionByName(before).agg(*[F.sum(c).alias(c) for c in numbers.columns])
         numbers.write.mode("overwrite").parquet(f"{path}/counters/batch_id={batch_id}")
 
-    return _start(changes.writeStream.outputMode("update").foreachBatch(store), checkpoint, every)
+    return start(changes.writeStream.outputMode("update").foreachBatch(store), checkpoint, every)
 
 
 def event_clock(events: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -138,7 +138,7 @@ def late_rows(
             "overwrite"
         ).parquet(f"{path}/clock/batch_id={batch_id}")
 
-    return _start(events.writeStream.outputMode("append").foreachBatch(store), checkpoint, every)
+    return start(events.writeStream.outputMode("append").foreachBatch(store), checkpoint, every)
 
 
 def read_late(spark: SparkSession, path: str) -> DataFrame:
@@ -166,7 +166,7 @@ def keyed_topic(
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)
     )
-    return _start(writer, checkpoint, every)
+    return start(writer, checkpoint, every)
 
 
 def serve(
@@ -186,7 +186,7 @@ def serve(
         )
         ranked.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return _start(trend.writeStream.outputMode("append").foreachBatch(publish), checkpoint, every)
+    return start(trend.writeStream.outputMode("append").foreachBatch(publish), checkpoint, every)
 
 
 def rank_windows(compared: DataFrame, n: int = TOP_N) -> DataFrame:

@@ -7,12 +7,13 @@
 
 import argparse
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse import schema
 from cartpulse.operators.normalise import accepted
 from cartpulse.session import build_session
-from cartpulse.streaming import inputs, outputs, views
+from cartpulse.streaming import inputs, livetable, outputs, signals, views
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -30,6 +31,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--window-minutes", type=int, default=5)
     parser.add_argument("--abandonment-minutes", type=int, default=15)
     parser.add_argument("--event-id", help="column that identifies repeated deliveries")
+    parser.add_argument("--log-tables", action="store_true", help="counters as live tables that compact themselves")
     parser.add_argument("--once", action="store_true")
     args = parser.parse_args(argv)
     spark = build_session("stream")
@@ -49,12 +51,19 @@ def main(argv: list[str] | None = None) -> None:
     def at(name: str) -> tuple[str, str]:
         return f"{args.output}/{name}", f"{args.output}/_checkpoints/{name}"
 
+    def counters(rows: DataFrame, name: str, *keys: str) -> StreamingQuery:
+        if args.log_tables:
+            return livetable.live_table(rows, *at(name), keys, every)
+        return outputs.upsert_totals(rows, *at(name), every)
+
     archived = valid.select(*schema.EVENT_COLUMNS, "experiment_id", "seq")
     queries = [
         outputs.route(interpreted, *at("ingest"), every),
         outputs.archive(archived, *at("archive"), every),
-        outputs.upsert_totals(views.minute_counters(events), *at("product_minutes"), every),
-        outputs.upsert_totals(views.minute_health(events), *at("health_minutes"), every),
+        counters(views.minute_counters(events), "product_minutes", "bucket", "product_id"),
+        counters(views.minute_health(events), "health_minutes", "bucket", "experiment_id"),
+        outputs.live_carts(signals.cart_changes(events, timeout), *at("live_carts"), every),
+        outputs.event_clock(events, *at("clock"), every),
         outputs.append_table(views.session_funnel(events, window), *at("funnel"), every),
         outputs.append_table(views.abandoned_carts(events, timeout), *at("abandoned_carts"), every),
         outputs.late_rows(archived, *at("late"), args.delay, every),

@@ -10,7 +10,7 @@ from cartpulse import schema
 from cartpulse.operators import abandonment, baseline, minutes, normalise, serving
 from cartpulse.sinks import payloads, tables
 from cartpulse.sources import files
-from cartpulse.streaming import inputs, outputs, signals, views
+from cartpulse.streaming import inputs, livetable, outputs, signals, views
 
 COLUMNS = [*schema.EVENT_COLUMNS, "seq", "processed_at", "experiment_id"]
 
@@ -288,3 +288,40 @@ def test_a_signal_comes_once_and_a_restart_moves_it(feed):
     changes = feed.spark.read.parquet(f"{out}/changes/*").filter("change = 'signalled'").collect()
     assert [(r.session_id, r.cart_time) for r in changes] == [("s", naive(2))]
     assert outputs.read_cart_counters(feed.spark, out).first().asDict() == {"pending_carts": 0, "abandoned_cart_signals_total": 1}
+
+
+def test_live_table_keeps_itself_small(feed):
+    spark, path, keys = feed.spark, str(feed.folder / "table"), ("bucket", "product_id")
+    rows = some_events(200)
+    events = full(spark, rows)
+    pinned = {}
+    for n in range(12):
+        upto = events.filter(F.col("seq") < (n + 1) * 17)
+        touched = minutes.product_minutes(upto).join(
+            upto.filter(F.col("seq") >= n * 17).select(F.date_trunc("minute", "event_time").alias("bucket"), "product_id").distinct(), [*keys]
+        )
+        livetable.append(touched, path, n, keys, fanout=2, keep=6)
+        if n == 7:  # the same micro-batch again
+            livetable.append(touched, path, n, keys, fanout=2, keep=6)
+        pinned[n] = livetable.read_live(spark, path, keys, version=n), minutes.product_minutes(upto)
+    # Readers pinned to a kept version see it as it was, whatever was merged since.
+    for n in range(6, 12):
+        got, want = pinned[n]
+        assert same(want, got), n
+    assert livetable.versions(spark, path) == list(range(6, 12))
+    listed = livetable._manifest(spark, path, 11)
+    assert len(listed) <= 4 and max(level for _, level in listed) >= 2
+    used = {s for v in range(6, 12) for s, _ in livetable._manifest(spark, path, v)}
+    assert used <= {p.name for p in (feed.folder / "table" / "data").iterdir()} and len(used) < 14
+    newest = livetable.read_live(spark, path, keys, since=F.lit(at(rows[-1][0] - 5)))
+    assert newest.count() == minutes.product_minutes(events.filter("seq < 204")).filter(F.col("bucket") >= F.lit(at(rows[-1][0] - 5))).count()
+
+
+def test_live_table_expires_in_merges(feed):
+    spark, path, keys = feed.spark, str(feed.folder / "table"), ("bucket", "product_id")
+    for n, minute in enumerate((0, 1, 48 * 60 + 5, 48 * 60 + 6)):
+        livetable.append(minutes.product_minutes(full(spark, [(minute, "view", "1", "s")])), path, n, keys, fanout=2)
+    livetable.append(minutes.product_minutes(full(spark, []).limit(0)), path, 4, keys, fanout=2)
+    assert [r.bucket for r in livetable.read_live(spark, path, keys).orderBy("bucket").collect()] == [naive(48 * 60 + 5), naive(48 * 60 + 6)]
+    merged = livetable._manifest(spark, path, 4)
+    assert len(merged) == 1 and spark.read.parquet(f"{path}/data/{merged[0][0]}").count() == 2
