@@ -24,7 +24,8 @@ def of_products(rows: DataFrame, recent: DataFrame) -> DataFrame:
 
 
 def compare(
-    recent: DataFrame, baseline: DataFrame, threshold: float = UNUSUAL_LIFT, order: str | None = None
+    recent: DataFrame, baseline: DataFrame, threshold: float = UNUSUAL_LIFT, order: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Every recent product with its normal activity, lift and flag.
 
@@ -32,12 +33,13 @@ def compare(
     normal activity, no lift and no flag. Averages missing from the baseline table count
     as zero. Where the baseline repeats a product its last row counts: that with the highest
     ``order``, or without one the last row read. Only rows of recent products are aggregated, and
-    the aggregation leaves them where the join needs them.
+    the aggregation leaves them where the join needs them. ``unique`` says that the baseline repeats none.
     """
-    if order is None:
-        order = "_row"
-        baseline = baseline.withColumn(order, F.monotonically_increasing_id())
-    baseline = last_baseline_row(of_products(baseline, recent), order)
+    if not unique:
+        if order is None:
+            order = "_row"
+            baseline = baseline.withColumn(order, F.monotonically_increasing_id())
+        baseline = last_baseline_row(of_products(baseline, recent), order)
     normal = baseline.select(
         "product_id",
         *[

@@ -29,6 +29,13 @@ judged AS (
                  WHEN session_id = '' THEN 'session_id is required' END AS reason
   FROM raw)"""
 
+_CATALOGUED = """
+catalogued AS (
+  SELECT *, CAST(2000 + CAST(product_id AS INTEGER) % 7 AS VARCHAR) AS category_id,
+    CASE WHEN CAST(product_id AS INTEGER) % 7 > 0 THEN 'shop.c' || CAST(product_id AS INTEGER) % 7 ELSE '' END AS category_code,
+    CASE WHEN CAST(product_id AS INTEGER) % 5 > 0 THEN 'Brand ' || CAST(product_id AS INTEGER) % 5 ELSE '' END AS brand
+  FROM judged WHERE reason IS NULL)"""
+
 _COUNTS = """count(*) FILTER (event_type = 'view') AS views,
     count(*) FILTER (event_type = 'cart') AS carts,
     count(*) FILTER (event_type = 'remove_from_cart') AS removals,
@@ -281,6 +288,10 @@ def oracle_sql() -> dict[str, str]:
             FROM ev LEFT JOIN part ON product_id = CAST(p_partkey AS VARCHAR) WHERE event_type = 'purchase' GROUP BY 1""",
         "revenue_by_product": f"""WITH {_EVENTS} SELECT product_id, count(*) AS purchases,
             CAST(sum(CAST(price AS DECIMAL(38,12))) AS DOUBLE) AS revenue FROM ev WHERE event_type = 'purchase' GROUP BY 1""",
+        "event_attributes": f"WITH {_RAW}, {_CATALOGUED} SELECT seq, product_id, category_id, category_code, brand FROM catalogued",
+        "revenue_by_own_brand": f"""WITH {_RAW}, {_CATALOGUED} SELECT brand, category_code, count(*) AS purchases,
+            CAST(sum(CAST(price AS DECIMAL(38,12))) AS DOUBLE) AS revenue FROM catalogued
+            WHERE event_type = 'purchase' GROUP BY ALL""",
         "trailing_product_activity": f"WITH {day}, {_PRODUCTS} SELECT * FROM products",
         "trailing_product_activity_5m": f"WITH {_EVENTS}, {_recent('5 minutes')}, {_PRODUCTS} SELECT * FROM products",
         "trailing_funnel": f"WITH {day}, {_FUNNEL} SELECT * FROM funnel",
@@ -409,6 +420,11 @@ def oracle_sql() -> dict[str, str]:
             WHERE event_time < (SELECT max(event_time) FROM ev e WHERE e.seq % 3 < l.seq % 3) - INTERVAL '2 days'""",
         "stream_route": """SELECT event_id AS seq, CASE WHEN event_type IN ('view', 'purchase') THEN 'accepted' ELSE 'rejected' END AS status,
             CASE WHEN event_type IN ('view', 'purchase') THEN NULL ELSE 'unsupported event_type' END AS reject_reason FROM events""",
+        "stream_redrive": """SELECT event_id AS seq, CAST(json_extract_string(props, '$.k') AS VARCHAR) AS product_id,
+            CASE event_type WHEN 'click' THEN 'cart' WHEN 'view' THEN 'view' WHEN 'purchase' THEN 'purchase' END AS event_type,
+            CASE WHEN event_type IN ('view', 'purchase') THEN 'accepted' WHEN event_type = 'click' THEN 'promoted' ELSE 'buried' END AS status,
+            CASE WHEN event_type IN ('view', 'purchase') THEN 1 ELSE 2 END AS attempts,
+            CASE WHEN event_type NOT IN ('view', 'purchase', 'click') THEN 'unsupported event_type' END AS reject_reason FROM events""",
         "stream_archive": f"WITH {_EVENTS} SELECT seq, {_CLEAN}, strftime(event_time, '%Y-%m-%d') AS event_date FROM ev",
         "stream_serving": f"""WITH {_EVENTS}, {_baseline('1 day')}, {_hops('[0]', '1 day', '1 day')},
             products AS (SELECT window_end, product_id, {_COUNTS} FROM hops GROUP BY ALL), {_COMPARED}

@@ -215,6 +215,18 @@ def revenue_by_brand(spark, sf_dir):
     )
 
 
+def _catalogued(spark, sf_dir):
+    return normalise.accepted(normalise.interpret_shop_rows(sample.catalogued_rows(spark, sf_dir)))
+
+
+def event_attributes(spark, sf_dir):
+    return _catalogued(spark, sf_dir).select("seq", "product_id", "category_id", "category_code", "brand")
+
+
+def revenue_by_own_brand(spark, sf_dir):
+    return revenue.revenue_by(_catalogued(spark, sf_dir), "brand", "category_code")
+
+
 def revenue_by_product(spark, sf_dir):
     return revenue.revenue_by(sample.shop_events(spark, sf_dir), "product_id")
 
@@ -605,7 +617,7 @@ def stream_late(spark, sf_dir):
     return outputs.read_late(spark, path).select("seq", "event_time", "product_id", "session_id")
 
 
-def stream_route(spark, sf_dir):
+def _routed(spark, sf_dir):
     raw = _event_rows(spark, sf_dir)
     payload = F.to_json(
         F.struct(
@@ -618,8 +630,21 @@ def stream_route(spark, sf_dir):
     decoded = records.decode_records(
         raw.select(F.col("event_id").alias("seq"), F.base64(payload.cast("binary")).alias("data"))
     )
-    out = _run(spark, "route", lambda out, check: outputs.route(decoded, out, check))
-    return spark.read.parquet(out).select("seq", "status", "reject_reason")
+    return _run(spark, "route", lambda out, check: outputs.route(decoded, out, check))
+
+
+def stream_route(spark, sf_dir):
+    return spark.read.parquet(_routed(spark, sf_dir)).select("seq", "status", "reject_reason")
+
+
+def stream_redrive(spark, sf_dir):
+    """Clicks are refused at first, and carts after the rule has changed; errors are refused twice."""
+    routed = _routed(spark, sf_dir)
+    repair = lambda text: F.regexp_replace(text, '"event_type":"click"', '"event_type":"cart"')
+    again = _run(spark, "redrive", lambda out, check: outputs.redrive(spark, routed, out, check, repair))
+    first = spark.read.parquet(routed).filter("status = 'accepted'").withColumn("attempts", F.lit(1))
+    columns = ("seq", "status", "attempts", "event_type", "product_id", "reject_reason")
+    return first.select(*columns).unionByName(spark.read.parquet(again).select(*columns))
 
 
 def stream_archive(spark, sf_dir):
@@ -631,9 +656,9 @@ def stream_archive(spark, sf_dir):
 
 def stream_serving(spark, sf_dir):
     normal = session.scratch_path(spark, "normal")
-    product_baseline_daily(spark, sf_dir).write.parquet(normal)
+    tables.write_laid_out(product_baseline_daily(spark, sf_dir), normal, parts=8)
     trend = views.hopping_trend(_clocked(spark, sf_dir), "1 day", "1 day")
-    path = _run(spark, "serving", lambda out, check: outputs.serve(trend, normal, out, check))
+    path = _run(spark, "serving", lambda out, check: outputs.serve(trend, normal, out, check, laid_out=True))
     return spark.read.option("basePath", path).parquet(f"{path}/batch_id=*").select(
         "window_end", "rank", "product_id", "trend_score", "activity_lift", "is_unusually_trending"
     )
@@ -646,7 +671,7 @@ _QUERIES = (
     product_window_counts, product_activity, product_session_funnel, product_baseline,
     product_baseline_daily, product_baseline_joined, product_baseline_all_windows,
     historical_dropoff, baseline_export, baseline_last_row, event_copies, revenue_by_brand,
-    revenue_by_product, trailing_product_activity, trailing_product_activity_5m, trailing_funnel,
+    revenue_by_product, event_attributes, revenue_by_own_brand, trailing_product_activity, trailing_product_activity_5m, trailing_funnel,
     window_event_totals, active_sessions, clock_summary, larger_loss, top_products, trailing_series, trailing_series_5m, serving_merge,
     serving_top, serving_candidates, threshold_sensitivity, trending_now, snapshot_document,
     serving_document, minute_product_buckets, minute_health, bucket_keys, health_keys,
@@ -655,7 +680,7 @@ _QUERIES = (
     latency_stats, backlog_age, largest_backlog_age, load_run_throughput, load_run_summary,
     load_run_csv, throughput_over_time, worker_speedup, scaling_changes, scaling_observed,
     stream_minute_buckets, stream_live_table, stream_live_top, stream_minute_health, stream_hopping_trend, stream_funnel,
-    stream_abandonment, stream_signals, stream_cart_counters, stream_dedup, stream_late, stream_route, stream_archive, stream_serving,
+    stream_abandonment, stream_signals, stream_cart_counters, stream_dedup, stream_late, stream_route, stream_redrive, stream_archive, stream_serving,
 )
 
 

@@ -3,7 +3,10 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cartpulse.functions.timebuckets import utc_text
-from cartpulse.sources.files import read_baseline
+from cartpulse.operators.baseline import last_baseline_row
+from cartpulse.sources.files import part_of, read_baseline
+
+PARTS = 256
 
 
 def write_baseline(baseline: DataFrame, path: str, json_files: int | None = None) -> None:
@@ -21,6 +24,16 @@ def write_baseline(baseline: DataFrame, path: str, json_files: int | None = None
     stored.write.mode("overwrite").option("ignoreNullFields", False).json(f"{root}/json")
 
 
+def write_laid_out(baseline: DataFrame, path: str, order: str | None = None, parts: int = PARTS) -> None:
+    """A baseline for serving: one row per product (the last by ``order`` where products repeat), in ``parts``
+    folders by hash of the product, each sorted by product. ``sources.files.read_laid_out`` opens
+    only the folders it needs."""
+    rows = last_baseline_row(baseline, order) if order else baseline
+    part = part_of(F.col("product_id"), parts)
+    laid = rows.withColumns({"parts": F.lit(parts), "part": part}).repartition("part").sortWithinPartitions("part", "product_id")
+    laid.write.mode("overwrite").partitionBy("parts", "part").parquet(path)
+
+
 def write_interpreted(rows: DataFrame, path: str) -> None:
     """Accepted events and rejects side by side from one pass over the source: folders
     ``status=accepted`` and ``status=rejected``."""

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from cartpulse import schema
 from cartpulse.operators.normalise import interpret_payloads, interpret_shop_rows
@@ -140,6 +140,25 @@ def read_baseline(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema.BASELINE_SCHEMA).parquet(path)
 
 
+def part_of(product: Column, parts: int) -> Column:
+    """The folder of a product in a laid-out baseline."""
+    return F.pmod(F.xxhash64(product.cast("string")), F.lit(parts)).cast("int")
+
+
+def read_laid_out(spark: SparkSession, path: str, products: DataFrame) -> DataFrame:
+    """Rows of a baseline written by ``sinks.tables.write_laid_out`` for these products (product_id): only the folders
+    that can hold one are listed and opened, and the products filter their rows where they are read."""
+    stored = spark.read.parquet(path)
+    parts = stored.select("parts").first()
+    if parts is None:
+        return stored.drop("parts", "part")
+    keys = products.select(F.col("product_id").cast("string").alias("_recent")).distinct()
+    # At most as many numbers as there are folders.
+    needed = [r.part for r in keys.select(part_of(F.col("_recent"), parts[0]).alias("part")).distinct().collect()]
+    rows = stored.filter(F.col("part").isin(needed))
+    return rows.join(keys, F.col("product_id") == F.col("_recent"), "left_semi").drop("parts", "part")
+
+
 def read_baseline_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Baseline as one JSON array, or with ``lines`` one row per line; missing columns
     become null. An array file is read by a single task, so prefer lines."""

@@ -81,6 +81,18 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def catalogued_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The untrusted rows with the shop's own brand and category, both missing for some products."""
+    k = F.col("product_id").cast("int")
+    return raw_rows(spark, sf_dir).withColumns(
+        {
+            "category_id": (F.lit(2_000) + k % 7).cast("string"),
+            "category_code": F.when(k % 7 > 0, F.concat(F.lit("shop.c"), k % 7)),
+            "brand": F.when(k % 5 > 0, F.concat(F.lit("Brand "), k % 5)),
+        }
+    )
+
+
 def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a feed in key order; their dates jump back and forth."""
     return spark.read.parquet(f"{sf_dir}/orders.parquet").select(

@@ -1,15 +1,19 @@
 """Streaming sinks. All of them can repeat a micro-batch without changing the result."""
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from cartpulse.functions.timebuckets import interval
 from cartpulse.operators.abandonment import with_detection
 from cartpulse.operators.serving import compare
-from cartpulse.schema import TOP_N, UNUSUAL_LIFT
+from cartpulse.schema import JSON_TEXT_SCHEMA, TOP_N, UNUSUAL_LIFT
+from cartpulse.session import remove
 from cartpulse.sinks.payloads import keyed_records
-from cartpulse.sources.files import read_baseline
+from cartpulse.sources.files import read_baseline, read_laid_out
+from cartpulse.sources.records import decode_records
 from cartpulse.streaming import signals
 
 
@@ -156,6 +160,33 @@ def route(interpreted: DataFrame, path: str, checkpoint: str, every: str | None
     )
 
 
+def redrive(
+    spark: SparkSession, quarantine: str, path: str, checkpoint: str,
+    repair: Callable[[Column], Column] | None = None, every: str | None = None,
+) -> StreamingQuery:
+    """Judges the refused rows of a ``route`` table (or the buried rows of an earlier pass) once more, by the rules
+    of now: rows that are valid become ``status=promoted``, the others ``status=buried``, with the number of
+    attempts so far. The text of a row as delivered goes through ``repair`` first, where one is given.
+
+    The table is read as a stream, so every refused row is judged once a pass, also after a restart,
+    and a promoted row is counted once. Start a pass anew, with its own checkpoint, after a rule change."""
+    table = spark.read.parquet(quarantine).schema
+    rows = spark.readStream.schema(table).parquet(quarantine).filter(F.col("status").isin("rejected", "buried"))
+    text = F.coalesce(F.get_json_object("raw", "$._corrupt_record"), F.col("raw"))
+    attempts = F.col("attempts") if "attempts" in table.names else F.lit(1)
+    known = {*JSON_TEXT_SCHEMA.names, "raw", "reject_reason", "status", "attempts", "_corrupt_record"}
+    again = decode_records(
+        rows.select(
+            *[c for c in table.names if c not in known],
+            (attempts + 1).alias("attempts"),
+            (repair(text) if repair else text).alias("data"),
+        ),
+        base64=False,
+    )
+    status = F.when(F.col("reject_reason").isNull(), "promoted").otherwise("buried")
+    return append_table(again.withColumn("status", status), path, checkpoint, every, partition_by="status")
+
+
 def keyed_topic(
     events: DataFrame, servers: str, topic: str, checkpoint: str,
     experiment_id: str | None = None, every: str | None = None,
@@ -171,20 +202,26 @@ def keyed_topic(
 
 def serve(
     trend: DataFrame, baseline_path: str, path: str, checkpoint: str,
-    n: int = TOP_N, threshold: float = UNUSUAL_LIFT, every: str | None = None,
+    n: int = TOP_N, threshold: float = UNUSUAL_LIFT, every: str | None = None, laid_out: bool = False,
 ) -> StreamingQuery:
     """Closed windows against the stored baseline: the ``n`` products with the highest
     lift per window. The baseline is read anew for each micro-batch, so a recomputed one
     takes effect at once. Ranking keeps ``n`` rows per window in every task before the
-    exchange."""
+    exchange. A baseline ``laid_out`` by ``sinks.tables.write_laid_out`` is read only in the parts that hold
+    products of the micro-batch, and its rows are not shuffled to be made unique."""
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{path}/_windows/batch_id={batch_id}")
+        closed = spark.read.schema(batch.schema).parquet(f"{path}/_windows/batch_id={batch_id}")
+        if closed.isEmpty():
             return
-        ranked = rank_windows(
-            compare(batch, read_baseline(batch.sparkSession, baseline_path), threshold), n
-        )
-        ranked.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if laid_out:
+            compared = compare(closed, read_laid_out(spark, baseline_path, closed), threshold, unique=True)
+        else:
+            compared = compare(closed, read_baseline(spark, baseline_path), threshold)
+        rank_windows(compared, n).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        remove(spark, f"{path}/_windows/batch_id={batch_id}")
 
     return start(trend.writeStream.outputMode("append").foreachBatch(publish), checkpoint, every)
 

@@ -110,3 +110,14 @@ def test_last_row_of_a_repeated_product_counts(spark, tmp_path):
     assert [r.activity_lift for r in serving.compare(recent, normal).collect()] == [2.0]
     ordered = normal.withColumn("place", -F.col("avg_trend_score_5m"))
     assert [r.activity_lift for r in serving.compare(recent, ordered, order="place").collect()] == [5.0]
+
+
+def test_only_the_history_of_recent_products_is_aggregated(spark, eight):
+    plan = documents.trending_now(eight, window="1 minute")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    semi = [i for i, line in enumerate(plan) if "Join LeftSemi" in line]
+    expand = next(i for i, line in enumerate(plan) if "Expand" in line)
+    # The semi join lies below the expansion into grouping sets of the baseline.
+    assert any(i > expand and depth(plan[i]) > depth(plan[expand]) for i in semi)
+    got = documents.trending_now(eight, window="1 minute").collect()
+    assert [r.product_id for r in got] == ["200"]
