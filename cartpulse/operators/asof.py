@@ -17,13 +17,16 @@ def first_at_or_after(points: DataFrame, probes: DataFrame) -> DataFrame:
     Every window is bounded by the clock, not by the data: times are made distinct
     first, so a second holds at most a million of them, a day holds 86,400 seconds,
     and the last window runs over days. However many rows share a moment, they arrive
-    as one.
+    as one, and moments are sorted only in seconds that hold a probe.
     """
     point, probe = points.columns[0], probes.columns[0]
     second = slot_of(F.col("t"), _SECOND).alias("second")
     at_points, at_probes = points.select(F.col(point).alias("t")), probes.select(F.col(probe).alias("t"))
+    # Only points in a second with a probe are looked at one by one.
+    probed = at_probes.select(second).distinct()
+    near = at_points.select("t", second).join(probed, "second", "left_semi")
     marks = (
-        at_points.select("t", F.lit(True).alias("is_point"))
+        near.select("t", F.lit(True).alias("is_point"))
         .unionAll(at_probes.select("t", F.lit(False)))
         .groupBy(second, "t")
         .agg(F.max("is_point").alias("is_point"), (~F.min("is_point")).alias("is_probe"))

@@ -242,7 +242,7 @@ def oracle_sql() -> dict[str, str]:
     long_signals = f"{_EVENTS}, {_signals('5 days')}"
     signal_columns = "session_id, product_id, cart_time, deadline, detected_at"
     baseline_5m = f"WITH {_EVENTS}, {_baseline('5 minutes')} SELECT * FROM base"
-    return {
+    found = {
         "event_normalise": f"WITH {_RAW} SELECT seq, {_CLEAN}, event_time AS source_event_time FROM judged WHERE reason IS NULL",
         "rejected_events": f"WITH {_RAW} SELECT seq, reason FROM judged WHERE reason IS NOT NULL",
         "ingest_quality": f"""WITH {_RAW} SELECT count(*) AS source_rows, count(*) - count(reason) AS accepted_rows,
@@ -432,3 +432,4 @@ def oracle_sql() -> dict[str, str]:
               is_unusually_trending FROM compared
             WINDOW w AS (PARTITION BY window_end {_RANK}) QUALIFY row_number() OVER w <= 5""",
     }
+    return found | {"stream_latency_stats": found["latency_stats"]}

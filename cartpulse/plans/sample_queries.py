@@ -591,6 +591,12 @@ def stream_minute_health(spark, sf_dir):
     return outputs.read_totals(spark, path, "bucket", "experiment_id")
 
 
+def stream_latency_stats(spark, sf_dir):
+    """One latency row per live event, and the percentiles of what has been stored."""
+    rows = minutes.latency_records(_stream(spark, sf_dir))
+    return experiments.latency_statistics(_appended(spark, "latency", rows), "experiment_id")
+
+
 def stream_hopping_trend(spark, sf_dir):
     return _appended(spark, "hopping", views.hopping_trend(_clocked(spark, sf_dir)))
 
@@ -679,7 +685,7 @@ _QUERIES = (
     abandoned_carts_15m, abandoned_carts_flush, overdue_carts, pending_carts, latest_signals, latency_log_parse,
     latency_stats, backlog_age, largest_backlog_age, load_run_throughput, load_run_summary,
     load_run_csv, throughput_over_time, worker_speedup, scaling_changes, scaling_observed,
-    stream_minute_buckets, stream_live_table, stream_live_top, stream_minute_health, stream_hopping_trend, stream_funnel,
+    stream_minute_buckets, stream_live_table, stream_live_top, stream_minute_health, stream_latency_stats, stream_hopping_trend, stream_funnel,
     stream_abandonment, stream_signals, stream_cart_counters, stream_dedup, stream_late, stream_route, stream_redrive, stream_archive, stream_serving,
 )
 

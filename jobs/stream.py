@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse import schema
+from cartpulse.operators.minutes import latency_records
 from cartpulse.operators.normalise import accepted
 from cartpulse.session import build_session
 from cartpulse.streaming import inputs, livetable, outputs, signals, views
@@ -62,6 +63,7 @@ def main(argv: list[str] | None = None) -> None:
         outputs.archive(archived, *at("archive"), every),
         counters(views.minute_counters(events), "product_minutes", "bucket", "product_id"),
         counters(views.minute_health(events), "health_minutes", "bucket", "experiment_id"),
+        outputs.append_table(latency_records(valid), *at("latency"), every),
         outputs.live_carts(signals.cart_changes(events, timeout), *at("live_carts"), every),
         outputs.event_clock(events, *at("clock"), every),
         outputs.append_table(views.session_funnel(events, window), *at("funnel"), every),
