@@ -4,7 +4,7 @@ Per document: counts and rates of symbols, repeated lines and repeated 5-word wi
 word length. Per language and source, mergeable KLL sketches of each rate are merged
 further to languages and to all documents.
 
-The upper threshold of a rate is its quantile ``UPPER`` plus ``SPREAD`` times the distance from the median to there. Where that
+The upper threshold of a rate is its quantile ``UPPER`` plus a multiple (``RATES``) of the distance from the median to there. Where that
 distance is below the unit of the rate in the group, the unit stands for it: one symbol, one repeated line, one repeated window
 or one word of double length in a text of median length there. Mean word length has a lower threshold too, by the quantile
 1 - ``UPPER``. The thresholds of a group are averaged with those of its language, and these with those of all documents,
@@ -25,8 +25,7 @@ MAX_REPEAT_PERCENT = 20
 WEIGHT = 200
 SKETCH_K = 4096  # rank error below 0.1 %
 UPPER = 0.8
-SPREAD = 6.0
-RATES = ("symbol_rate", "line_rate", "repeat_rate", "word_length")
+RATES = {"symbol_rate": 6.0, "line_rate": 2.0, "repeat_rate": 8.0, "word_length": 10.0}
 _SKETCHED = (*RATES, "n_words", "n_lines")
 _SYMBOLS = b"#*$%&|<>"
 _SPACE = b" \t\n\x0b\x0c\r"
@@ -110,11 +109,11 @@ def _bounds(groups: DataFrame, *keys: str) -> DataFrame:
         "word_length": at("word_length", 0.5) / words,
     }
     columns = []
-    for rate in RATES:
+    for rate, times in RATES.items():
         low, middle, high = at(rate, 1 - UPPER), at(rate, 0.5), at(rate, UPPER)
         columns += [
-            (high + SPREAD * F.greatest(high - middle, units[rate])).alias(f"{rate}_max"),
-            (low - SPREAD * F.greatest(middle - low, units[rate])).alias(f"{rate}_min"),
+            (high + times * F.greatest(high - middle, units[rate])).alias(f"{rate}_max"),
+            (low - times * F.greatest(middle - low, units[rate])).alias(f"{rate}_min"),
             (high - middle < units[rate]).alias(f"{rate}_by_unit"),
         ]
     return groups.select(*keys, "n", F.struct(*columns).alias("bounds"))

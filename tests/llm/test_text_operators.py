@@ -258,7 +258,8 @@ def brute_bounds(rows):
     out = {}
     for (rate, values), unit in zip(rates.items(), units, strict=True):
         low, middle, high = (at(values, q) for q in (1 - rules.UPPER, 0.5, rules.UPPER))
-        out[rate] = (low - 6 * max(middle - low, unit), high + 6 * max(high - middle, unit))
+        times = rules.RATES[rate]
+        out[rate] = (low - times * max(middle - low, unit), high + times * max(high - middle, unit))
     return out
 
 
