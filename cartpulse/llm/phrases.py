@@ -28,7 +28,7 @@ from cartpulse.session import stored
 
 WORDS = 3
 LEAST = 10
-SHARD = 1 << 18
+SHARD = 1 << 17
 TOP = 2000
 KEEP_PERCENT = 50
 SCALE = 1_000_000
