@@ -95,7 +95,8 @@ def format_chat(messages: DataFrame) -> DataFrame:
 
     Turns come in order of turn, role and content, nulls first; repeated rows are turns of their
     own. Null roles and parts are empty; a null conv_id is a conversation. Other columns are
-    ignored. A conversation is one row of the result, and no step holds more than one."""
+    ignored. A conversation, however long, is one row of the result, and no step holds more than one. An
+    empty table gives an empty result."""
     parts = _joined(F.coalesce("parts", F.array().cast(f"array<{PART}>")))
     pieces = F.transform(
         parts,

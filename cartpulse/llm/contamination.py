@@ -155,7 +155,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE
 
     Documents without a match have no row. Null and empty texts match nothing; null
     items and items without letters or digits neither. Repeated documents repeat their
-    rows; repeated items count once. Other columns are ignored."""
+    rows; repeated items count once. Of passages equally near the one that ends first counts within its
+    stretch of the text. Other columns are ignored. Empty tables give an empty result."""
     spark = docs.sparkSession
     common.small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
@@ -190,7 +191,9 @@ def _free_of(shared, rate: float):
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, all columns kept."""
+    """The rows of ``docs`` that hold no benchmark item, all columns kept whatever their names.
+
+    Null and empty texts stay. Repeated rows stay or go together; empty tables change nothing."""
     spark = docs.sparkSession
     common.small_batches(spark)
     for block in _blocks(benchmark):

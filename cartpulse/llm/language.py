@@ -114,7 +114,7 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
     Whole texts are compressed. Null texts and texts without a letter are ``und`` with score 0; so is
     everything when nothing was learnt. Ties go to the first language by name. Rejected
     rows keep their nearest language. Repeated rows give repeated results; other columns are
-    ignored."""
+    ignored. An empty table gives an empty result."""
     spark = docs.sparkSession
     common.small_batches(spark)
     shared = spark.sparkContext.broadcast(dictionaries)

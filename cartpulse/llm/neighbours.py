@@ -177,7 +177,9 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     """(doc_id, held_out, score, predicted) for every row of ``docs``; whole texts are read.
 
     Null and empty texts have no terms and score the sample's share of label 1. Equal texts
-    score alike; repeated rows give repeated results. Other columns are ignored."""
+    score alike but for the last digits; which of several labelled texts equally near at the last place votes is
+    left to the block. Repeated rows give repeated results. Other columns are ignored. An empty table gives an
+    empty result."""
     spark = docs.sparkSession
     common.small_batches(spark)
     shared = spark.sparkContext.broadcast(astuple(model))
@@ -214,7 +216,10 @@ def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score the threshold or more, all columns kept."""
+    """The rows of ``docs`` that score the threshold or more, all columns kept whatever their names.
+
+    Null and empty texts are kept if the sample's share of label 1 reaches the threshold. Repeated rows stay or go
+    together; an empty table stays empty."""
     common.small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(astuple(model))
 

@@ -89,7 +89,8 @@ def pack(lengths: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Da
     equal rows), piece, start and n_tokens in the document, sequence, offset in it.
 
     Documents of no tokens give one row without a sequence. A null source is a source like any
-    other; a null cluster conflicts with nothing. An empty table gives an empty result."""
+    other; a null cluster conflicts with nothing. Equal lengths are placed by doc_id, cluster and copy. An empty table
+    gives an empty result."""
     rows = stored(
         lengths.select(
             F.col("doc_id").cast("long"), F.col("length").cast("long"), "source", F.col("cluster").cast("long")
