@@ -7,7 +7,7 @@ one-day window or a five-day timeout.
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cartpulse import schema, session
 from cartpulse.operators import (
@@ -481,19 +481,35 @@ def _stream(spark, sf_dir):
     return sample.canonical(_event_rows(spark, sf_dir))
 
 
-PIECES = 3  # files of a shuffled feed, one a micro-batch
+PIECES = 3  # of a shuffled feed, one a micro-batch
+FILE_ROWS = 50_000  # of a file of a piece, at least
+
+
+def _in_pieces(spark, name, events, piece, pieces):
+    """Writes the events piece after piece, each as the same number of files, so that this number a micro-batch
+    makes a piece a micro-batch; returns the folder and the number. The events are read once, and all cores
+    write; a small piece is one file."""
+    path, parted = session.scratch_path(spark, name), session.scratch_path(spark, f"{name}-parted")
+    events.withColumn("piece", piece.cast("int")).write.partitionBy("piece").parquet(parted)
+    table = T.StructType([*events.schema.fields]).add("piece", "integer")
+    found = spark.read.schema(table).option("basePath", parted).parquet(parted)
+    sizes = {r.piece: r["count"] for r in found.groupBy("piece").count().collect()}
+    most = spark.sparkContext.defaultParallelism
+    files = max(1, min(most, min(sizes.get(n, 0) for n in range(pieces)) // FILE_ROWS))
+    for n in range(pieces):
+        rows = found.filter(F.col("piece") == n).drop("piece")
+        (rows.repartition(files) if files > 1 else rows.coalesce(1)).write.mode("append").parquet(path)
+    return path, files
 
 
 def _pieces(spark, sf_dir, closing=True):
     """The events as a stream of files in no order of time, and a row that closes the clock."""
     events = sample.canonical(spark.read.parquet(f"{sf_dir}/events.parquet"))
-    path = session.scratch_path(spark, "feed")
-    for piece in range(PIECES):
-        events.filter(F.col("seq") % PIECES == piece).coalesce(1).write.mode("append").parquet(path)
+    path, files = _in_pieces(spark, "feed", events, F.col("seq") % PIECES, PIECES)
     if closing:
         end = events.agg(F.max("event_time") + F.expr(f"interval {LATENESS}") * 2).scalar()
         inputs.closing_row(spark, events.schema, end).write.mode("append").parquet(path)
-    return inputs.table_files(spark, f"{path}/*.parquet", events.schema, max_files=1)
+    return inputs.table_files(spark, f"{path}/*.parquet", events.schema, max_files=files)
 
 
 # Covers the whole span of the events, because the files come in no order.
@@ -504,9 +520,6 @@ def _clocked(spark, sf_dir):
     return inputs.on_clock(_pieces(spark, sf_dir), LATENESS)
 
 
-FILES = 4  # of a piece of the ordered feed, and of a micro-batch
-
-
 def _in_order(spark, sf_dir):
     """The events as a stream of five pieces in order of time, spread over files, on a clock that allows for the
     disorder inside a piece, and a row that brings the clock just past the last event."""
@@ -514,14 +527,10 @@ def _in_order(spark, sf_dir):
     at = F.unix_micros("event_time")
     first, last = events.agg(F.min(at), F.max(at)).first()
     width = -(-(last - first + 1) // 5000) * 1000
-    path = session.scratch_path(spark, "ordered-feed")
-    for piece in range(5):
-        low = first + piece * width
-        rows = events.filter((at >= low) & (at < low + width))
-        rows.repartition(FILES, "seq").write.mode("append").parquet(path)
+    path, files = _in_pieces(spark, "ordered-feed", events, F.call_function("div", at - first, F.lit(width)), 5)
     end = F.timestamp_micros(F.lit(last + width + 2000))
     inputs.closing_row(spark, events.schema, end).write.mode("append").parquet(path)
-    feed = inputs.table_files(spark, f"{path}/*.parquet", events.schema, max_files=FILES)
+    feed = inputs.table_files(spark, f"{path}/*.parquet", events.schema, max_files=files)
     return inputs.on_clock(feed, f"{width} microseconds")
 
 

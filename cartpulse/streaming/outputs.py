@@ -66,22 +66,28 @@ def compact_totals(spark: SparkSession, path: str, target: str, now, *keys: str)
 def live_carts(changes: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Keeps the cart changes (``signals.cart_changes``) and the running numbers of pending and signalled carts.
 
-    Each micro-batch stores its changes and the numbers after it under its own number; the numbers
-    before it are those of the last batch, so a repeated batch replaces itself and a reader of the
-    numbers reads one row."""
+    Each micro-batch stores its changes, what it keeps and the numbers and the clock after it under its own number; those
+    before it are of the last batch, so a repeated batch replaces itself and a reader of the
+    numbers reads one row. Of what was kept only the last two batches stay."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
-        new = spark.read.schema(batch.schema).parquet(f"{path}/changes/batch_id={batch_id}")
+        last = spark.read.parquet(f"{path}/counters/batch_id={batch_id - 1}").first() if batch_id else None
+        kept = spark.read.parquet(f"{path}/steps/batch_id={batch_id - 1}") if batch_id else None
+        before = last.clock if last else 0
+        now = max(before, batch.agg(signals.clock_of()).first()[0] or 0)
+        signals.steps(kept, batch, before, now).write.mode("overwrite").parquet(f"{path}/steps/batch_id={batch_id}")
+        new = signals.changes_of(spark.read.parquet(f"{path}/steps/batch_id={batch_id}"))
+        new.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
         opened, closed, signalled = (
             F.count_if(F.col("change") == kind) for kind in (signals.OPENED, signals.CLOSED, signals.SIGNALLED)
         )
         numbers = new.agg((opened - closed - signalled).alias("pending_carts"), signalled.alias("abandoned_cart_signals_total"))
-        if batch_id:
-            before = spark.read.parquet(f"{path}/counters/batch_id={batch_id - 1}")
-            numbers = numbers.unionByName(before).agg(*[F.sum(c).alias(c) for c in numbers.columns])
-        numbers.write.mode("overwrite").parquet(f"{path}/counters/batch_id={batch_id}")
+        if last:
+            numbers = numbers.select(*[(F.col(c) + last[c]).alias(c) for c in numbers.columns])
+        clocked = numbers.withColumn("clock", F.lit(now).cast("bigint"))
+        clocked.coalesce(1).write.mode("overwrite").parquet(f"{path}/counters/batch_id={batch_id}")
+        remove(spark, f"{path}/steps/batch_id={batch_id - 2}")
 
     return start(changes.writeStream.outputMode("update").foreachBatch(store), checkpoint, every)
 
@@ -113,7 +119,7 @@ def read_cart_counters(spark: SparkSession, path: str) -> DataFrame:
     """One row: pending carts and signals so far, after the newest micro-batch."""
     stored = spark.read.option("basePath", f"{path}/counters").parquet(f"{path}/counters/batch_id=*")
     newest = stored.agg(F.max("batch_id")).scalar()
-    return stored.filter(F.col("batch_id") == newest).drop("batch_id")
+    return stored.filter(F.col("batch_id") == newest).drop("batch_id", "clock")
 
 
 def late_rows(

@@ -290,6 +290,23 @@ def test_a_signal_comes_once_and_a_restart_moves_it(feed):
     assert outputs.read_cart_counters(feed.spark, out).first().asDict() == {"pending_carts": 0, "abandoned_cart_signals_total": 1}
 
 
+def test_carts_of_all_pairs_are_judged_together(feed):
+    """No Python and no call for each pair: a micro-batch is one window over what is kept and what is new."""
+    feed.add(full(feed.spark, [(0, "view", "p", "s")]))
+    plan = signals.cart_changes(feed.stream("1 second"))._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithState" not in plan and "Python" not in plan
+    minute, timeout, table = 60_000_000, 15 * 60_000_000, "session_id string, product_id string, micros bigint, seq bigint, is_cart boolean, is_action boolean, delay_ms bigint, timeout bigint"
+    new = lambda *rows: feed.spark.createDataFrame([(s, "p", m * minute, q, c, True, 0, timeout) for s, m, q, c in rows], table)
+    told = lambda rows: sorted((r.session_id, r.micros // minute, r.outcome) for r in rows.collect())
+    first = signals.steps(None, new(("a", 1, 1, True), ("b", 2, 2, True), ("b", 2, 3, False), ("c", 9, 4, False), ("d", 3, 5, True)), 0, 5 * minute)
+    assert told(first) == [
+        ("a", 1, "held"), ("a", 1, "opened"), ("b", 2, "closed"), ("b", 2, "opened"), ("c", 9, "waiting"), ("d", 3, "held"), ("d", 3, "opened"),
+    ]
+    late = new(("a", 4, 6, False), ("d", 18, 7, True), ("a", 40, 8, True))
+    second = signals.steps(first, late, 5 * minute, 30 * minute)
+    assert told(second) == [("a", 1, "signalled"), ("a", 40, "waiting"), ("d", 3, "signalled"), ("d", 18, "held"), ("d", 18, "opened")]
+
+
 def test_live_table_keeps_itself_small(feed):
     spark, path, keys = feed.spark, str(feed.folder / "table"), ("bucket", "product_id")
     rows = some_events(200)
