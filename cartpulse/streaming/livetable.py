@@ -21,6 +21,7 @@ from cartpulse.streaming.outputs import start
 
 FANOUT = 8
 KEEP = 20
+SPREAD = 8  # most files of a date in a segment
 _MANIFEST = "segment string, level int"
 
 
@@ -52,9 +53,11 @@ def _newest(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return newest.select(*keys, *[F.col(f"row.{c}").alias(c) for c in values])
 
 
-def _write(rows: DataFrame, path: str, batch_id: int) -> str:
+def _write(rows: DataFrame, path: str, batch_id: int, keys: tuple[str, ...]) -> str:
     name = f"{batch_id:012d}-{uuid.uuid4().hex}"
-    rows.write.partitionBy("event_date").parquet(f"{path}/data/{name}")
+    # Without this every task writes a file of every date it has rows of.
+    dealt = rows.repartition("event_date", F.pmod(F.xxhash64(*keys), F.lit(SPREAD)))
+    dealt.write.partitionBy("event_date").parquet(f"{path}/data/{name}")
     return name
 
 
@@ -65,7 +68,7 @@ def append(batch: DataFrame, path: str, batch_id: int, keys: tuple[str, ...], fa
     before = [v for v in versions(spark, path) if v < batch_id]
     segments = _manifest(spark, path, before[-1]) if before else []
     name = _write(
-        batch.withColumns({"batch_id": F.lit(batch_id).cast("bigint"), "event_date": F.to_date(keys[0])}), path, batch_id
+        batch.withColumns({"batch_id": F.lit(batch_id).cast("bigint"), "event_date": F.to_date(keys[0])}), path, batch_id, keys
     )
     table = T.StructType([*batch.schema.fields]).add("batch_id", "long").add("event_date", "date")
     if not spark.read.schema(table).parquet(f"{path}/data/{name}").isEmpty():
@@ -75,7 +78,7 @@ def append(batch: DataFrame, path: str, batch_id: int, keys: tuple[str, ...], fa
         full = [s for s, of in segments if of == level]
         rows = _segments(spark, path, full)
         clock = rows.agg(F.unix_seconds(F.max("updated_at"))).scalar()
-        merged = _write(_newest(rows, keys).filter(F.col("expires_at") > clock), path, batch_id)
+        merged = _write(_newest(rows, keys).filter(F.col("expires_at") > clock), path, batch_id, keys)
         segments = [(s, of) for s, of in segments if of != level]
         if not spark.read.schema(table).parquet(f"{path}/data/{merged}").isEmpty():
             segments.append((merged, level + 1))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import EIGHT, T0, at, events_of, naive
 from cartpulse import schema
 from cartpulse.operators import abandonment, baseline, minutes, normalise, serving
+from cartpulse.plans import sample_queries
 from cartpulse.sinks import payloads, tables
 from cartpulse.sources import files
 from cartpulse.streaming import inputs, livetable, outputs, signals, views
@@ -334,6 +335,27 @@ def test_live_table_keeps_itself_small(feed):
     assert newest.count() == minutes.product_minutes(events.filter("seq < 204")).filter(F.col("bucket") >= F.lit(at(rows[-1][0] - 5))).count()
 
 
+def test_segments_have_few_files_a_date(feed):
+    spark, path = feed.spark, str(feed.folder / "table")
+    rows = minutes.product_minutes(full(spark, some_events(200))).repartition(40)
+    livetable.append(rows, path, 0, ("bucket", "product_id"))
+    dates = {p.parent: sum(1 for _ in p.parent.glob("part-*")) for p in (feed.folder / "table" / "data").glob("*/event_date=*/part-*")}
+    assert dates and max(dates.values()) <= livetable.SPREAD
+
+
+def test_a_feed_is_written_by_all_cores(feed, monkeypatch):
+    spark = feed.spark
+    events = full(spark, some_events(300)).repartition(3)
+    for least, several in ((50_000, False), (10, spark.sparkContext.defaultParallelism > 1)):
+        monkeypatch.setattr(sample_queries, "FILE_ROWS", least)
+        path, files = sample_queries._in_pieces(spark, "feed", events, F.col("seq") % 3, 3)
+        assert (files > 1) == several
+        stored = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_path"))
+        assert sorted(r.seq for r in stored.collect()) == list(range(300))
+        found = stored.groupBy("file").agg(F.collect_set(F.col("seq") % 3).alias("pieces"))
+        assert sorted(r.pieces[0] for r in found.collect() if len(r.pieces) == 1) == sorted(list(range(3)) * files)
+
+
 def test_live_table_expires_in_merges(feed):
     spark, path, keys = feed.spark, str(feed.folder / "table"), ("bucket", "product_id")
     for n, minute in enumerate((0, 1, 48 * 60 + 5, 48 * 60 + 6)):
