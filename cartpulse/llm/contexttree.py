@@ -8,44 +8,47 @@ children's, and the posterior shares along a path of contexts mix the estimates
 depths. Texts begin in the context of zero bytes and end with a zero byte, so the code lengths
 of different texts compare.
 
-What training needs is the number of times each byte follows each context of ``DEPTH`` bytes:
-one aggregation over all training texts. The tree holds, at every depth, the contexts that make
-up at least one in ``NODES`` of all positions, so at most ``NODES`` of them whatever the corpus;
-the occurrences of a context that continue in none of its longer contexts in the tree are a leaf of
-their own. From the counts the code length of every byte in every context is tabulated once.
-The table, with its links to longer contexts, is broadcast; it has 2 KB for each context,
-below 2 x ``DEPTH`` x ``NODES`` KB in all.
-
-The unigram base score needs the count of every token. Tokens that make up at least one in
-``SHARE`` of all occurrences (at most ``SHARE`` of them, therefore) are broadcast; the others are
-joined.
+Every context that the training texts hold is a node of the tree; none is pruned. No task and no machine
+holds the tree or the vocabulary:
+
+* Texts are dealt into blocks of about ``BLOCK`` bytes, each from one partition. A block asks once for each of its tokens and once
+  for each of its grams (a context of ``DEPTH`` bytes and the byte after it), with their training counts.
+* Grams are grouped by the last ``TOP`` bytes of their contexts, their root. Below a root there are at most
+  256^2 contexts, whatever the corpus. Weighted values are computed from the deepest contexts up to the
+  root, those of the roots are summed by context of ``TOP`` - 1 bytes, and the contexts above the roots (at
+  most 65,793) are weighted on the driver and broadcast.
+* A second pass over the roots mixes the estimates and gives every block the code lengths of its grams.
+* A block then scores its texts by its own grams and tokens. Tokens are counted over all blocks alike.
 """
 
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartpulse.llm import common
 from cartpulse.session import stored
 
 DEPTH = 5
-NODES = 1 << 15
-SHARE = 1 << 18
+TOP = 3
+BLOCK = 32 << 20
 FOLDS, HELD_OUT = 7, 2
 END = b"\n"  # the end token; no word holds white space
 _FLUSH = 1 << 19  # tokens a task holds before it passes their counts on
 _CHUNK = 1 << 22  # bytes sorted at a time
+_ASKED = 1 << 20  # grams priced at a time
 
 
 def followed(text: bytes) -> np.ndarray:
-    """For every byte of the text and its end: its context and the byte, as one number."""
+    """For every byte of the text and its end: its context and the byte, as one number. From the highest: the root, the
+    latest byte lowest; the fourth and the fifth byte back; the byte."""
     padded = np.frombuffer(b"\0" * DEPTH + text + b"\0", np.uint8)
     found = np.zeros(len(text) + 1, np.int64)
-    for at in range(DEPTH + 1):
-        found = found << 8 | padded[at : at + len(found)]
+    for back in (*range(TOP, 0, -1), *range(TOP + 1, DEPTH + 1), 0):
+        found = found << 8 | padded[DEPTH - back : DEPTH - back + len(found)]
     return found
 
 
@@ -53,26 +56,31 @@ def tokens_of(text: bytes) -> list[bytes]:
     return [*common.words_of(text.lower()), END]
 
 
+def _merged(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and the sums of their counts."""
+    found, at = np.unique(values, return_inverse=True)
+    return found, np.bincount(at, counts, len(found)).astype(np.int64)
+
+
 class _Grams:
-    """Sorted distinct numbers with their counts."""
+    """Sorted distinct numbers with their counts in training texts."""
 
     def __init__(self):
-        self.waiting, self.size = [], 0
+        self.waiting, self.size = {True: [], False: []}, 0
         self.values, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def add(self, values: np.ndarray) -> None:
-        self.waiting.append(values)
+    def add(self, values: np.ndarray, train: bool) -> None:
+        self.waiting[train].append(values)
         self.size += len(values)
         if self.size >= _CHUNK:
             self.sum()
 
     def sum(self) -> None:
-        new, n = np.unique(np.concatenate([np.zeros(0, np.int64), *self.waiting]), return_counts=True)
-        self.waiting, self.size = [], 0
-        values, at = np.unique(np.concatenate([self.values, new]), return_inverse=True)
-        counts = np.zeros(len(values), np.int64)
-        np.add.at(counts, at, np.concatenate([self.counts, n]))
-        self.values, self.counts = values, counts
+        new, n = np.unique(np.concatenate([np.zeros(0, np.int64), *self.waiting[True]]), return_counts=True)
+        other = np.unique(np.concatenate([np.zeros(0, np.int64), *self.waiting[False]]))
+        self.waiting, self.size = {True: [], False: []}, 0
+        values = np.concatenate([self.values, new, other])
+        self.values, self.counts = _merged(values, np.concatenate([self.counts, n, np.zeros(len(other))]))
 
     def taken(self):
         out = self.values, self.counts
@@ -80,72 +88,195 @@ class _Grams:
         return out
 
 
-_COUNTED = pa.schema([("token", pa.binary()), ("gram", pa.int64()), ("n", pa.int64())])
+def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    offsets = np.zeros(len(sizes) + 1, np.int32)
+    np.cumsum(sizes, out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
+def _by_root(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the roots of sorted grams begin, and how many grams each has."""
+    starts = np.flatnonzero(np.diff(grams >> 24, prepend=-1))
+    return starts, np.diff(starts, append=len(grams))
+
 
+_DEALT = pa.schema(
+    [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.binary()), ("block", pa.int64())]
+)
+_DEALT_SPARK = "doc_id long, held_out boolean, text binary, block long"
+
+
+def _dealt(batches):
+    size = 0
+    for rows in batches:
+        block = pc.add(rows.column("part").cast(pa.int64()), pa.scalar((size // BLOCK) << 32))
+        yield common.batch(_DEALT, [*rows.columns[:3], block])
+        size += rows.nbytes
 
-def _counted(batches):
+
+_INTS = pa.list_(pa.int32())
+_ASKS = pa.schema(
+    [("block", pa.int64()), ("token", pa.binary()), ("n", pa.int64()), ("root", pa.int32()), ("grams", _INTS), ("counts", _INTS)]
+)
+_ASKS_SPARK = "block long, token binary, n long, root int, grams array<int>, counts array<int>"
+
+
+def _asked(batches):
     tokens: Counter = Counter()
     grams = _Grams()
 
-    def of_tokens():
+    def of_tokens(block):
         keys, n = list(tokens), list(tokens.values())
         tokens.clear()
-        return common.batch(_COUNTED, [keys, [None] * len(keys), n])
+        none = pa.nulls(len(n), pa.int32())
+        lists = pa.nulls(len(n), _INTS)
+        return common.batch(_ASKS, [pa.array([block] * len(n), pa.int64()), keys, n, none, lists, lists])
 
-    def of_grams():
+    def of_grams(block):
         values, n = grams.taken()
-        return common.batch(_COUNTED, [pa.nulls(len(n), pa.binary()), values, n])
-
+        starts, sizes = _by_root(values)
+        columns = [
+            pa.array([block] * len(sizes), pa.int64()), pa.nulls(len(sizes), pa.binary()), pa.nulls(len(sizes), pa.int64()),
+            (values[starts] >> 24).astype(np.int32), _lists((values & 0xFFFFFF).astype(np.int32), sizes),
+            _lists(n.astype(np.int32), sizes),
+        ]
+        rows = common.batch(_ASKS, columns)
+        yield from (rows.slice(at, common.BATCH_ROWS) for at in range(0, len(rows), common.BATCH_ROWS))
+
+    block = None
     for rows in batches:
-        for text in rows.column(0).to_pylist():
-            tokens.update(tokens_of(text))
-            grams.add(followed(text))
+        for of, train, text in zip(*(c.to_pylist() for c in rows.columns), strict=True):
+            if of != block and block is not None:
+                grams.sum()
+                yield of_tokens(block)
+                yield from of_grams(block)
+            block = of
+            words = tokens_of(text)
+            if train:
+                tokens.update(words)
+            else:
+                for word in words:
+                    tokens.setdefault(word, 0)
+            grams.add(followed(text), train)
             if len(tokens) >= _FLUSH:
-                yield of_tokens()
+                yield of_tokens(block)
             if len(grams.values) >= _FLUSH * 4:
-                yield of_grams()
-    grams.sum()
-    yield of_tokens()
-    yield of_grams()
+                yield from of_grams(block)
+    if block is not None:
+        grams.sum()
+        yield of_tokens(block)
+        yield from of_grams(block)
+
+
+def _flat(rows: pa.RecordBatch, name: str) -> np.ndarray:
+    return rows.column(name).flatten().to_numpy(zero_copy_only=False)
+
+
+def _grams_of(rows: pa.RecordBatch) -> np.ndarray:
+    """Whole grams of rows (root, grams), one after another."""
+    roots = rows.column("root").to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = np.diff(rows.column("grams").offsets.to_numpy())
+    return np.repeat(roots, sizes) << 24 | _flat(rows, "grams")
+
+
+class _Level:
+    """Counts of one binary decision below the contexts of one depth: of sorted distinct (context, byte) with
+    counts, grouped by context and the bits before it."""
+
+    def __init__(self, follows: np.ndarray, n: np.ndarray, bit: int):
+        group = follows >> (8 - bit)
+        self.first = np.flatnonzero(np.diff(group, prepend=-1))
+        self.at = np.cumsum(np.diff(group, prepend=-1) != 0) - 1
+        self.ones = np.bincount(self.at, n * (follows >> (7 - bit) & 1), len(self.first))
+        self.all = np.bincount(self.at, n, len(self.first))
+        self.own = _kt(self.all - self.ones, self.ones)
+        self.estimate = (self.ones + 0.5) / (self.all + 1)
+
+    def mixed(self, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weighted log probability and the share of the own estimate, given that of all longer contexts."""
+        weighted = np.logaddexp(self.own, below) - np.log(2)
+        return weighted, np.exp(self.own - np.log(2) - weighted)
+
+
+def subtrees(grams: np.ndarray, n: np.ndarray):
+    """Of sorted distinct grams with training counts, yields for each of the eight decisions of their bytes:
+    the probability of a one given the root and longer contexts, by gram; and the first gram and the
+    weighted log probability of every (root, bits before)."""
+    byte = grams & 255
+    fours, at_four, of_four = np.unique(grams >> 16 << 8 | byte, return_index=True, return_inverse=True)
+    threes, at_three, of_three = np.unique(grams >> 24 << 8 | byte, return_index=True, return_inverse=True)
+    n_fours = np.bincount(of_four, n, len(fours))
+    n_threes = np.bincount(of_three, n, len(threes))
+    for bit in range(8):
+        five, four, three = (_Level(*x, bit) for x in ((grams, n), (fours, n_fours), (threes, n_threes)))
+        up_four = four.at[of_four[five.first]]
+        weighted, stop_four = four.mixed(np.bincount(up_four, five.own, len(four.first)))
+        up_three = three.at[of_three[at_four[four.first]]]
+        weighted, stop_three = three.mixed(np.bincount(up_three, weighted, len(three.first)))
+        one = stop_four[up_four] * four.estimate[up_four] + (1 - stop_four[up_four]) * five.estimate
+        of_root = up_three[up_four]
+        one = stop_three[of_root] * three.estimate[of_root] + (1 - stop_three[of_root]) * one
+        yield one[five.at], at_three[three.first], weighted
+
+
+_TRAINED = pa.schema(
+    [("root", pa.int32()), ("grams", _INTS), ("counts", pa.list_(pa.int64())), ("nodes", _INTS), ("logs", pa.list_(pa.float64())),
+     ("bytes", _INTS), ("times", pa.list_(pa.int64()))]
+)
+_TRAINED_SPARK = (
+    "root int, grams array<int>, counts array<long>, nodes array<int>, logs array<double>, bytes array<int>, "
+    "times array<long>"
+)
 
 
-def counts(docs: DataFrame, train) -> DataFrame:
-    """(token, gram, n): occurrences of every token and of every byte after its context, over all
-    rows that satisfy ``train``; one of token and gram is null."""
-    common.small_batches(docs.sparkSession)
-    rows = docs.where(train).select(common.utf8(F.col("text")).alias("text"))
-    partial = rows.mapInArrow(_counted, "token binary, gram long, n long")
-    return partial.groupBy("token", "gram").agg(F.sum("n").alias("n"))
-
-
-def tree(grams: DataFrame) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Contexts by depth, in ascending order, and their counts by following byte, of (gram, n)."""
-    depth = F.explode(F.expr(f"sequence(0, {DEPTH})")).alias("depth")
-    masks = F.array(*[F.lit((1 << 8 * d) - 1).cast("long") for d in range(DEPTH + 1)])
-    context = F.shiftright("gram", 8).bitwiseAND(F.get(masks, F.col("depth")))
-    following = stored(
-        grams.select("gram", "n", depth)
-        .select("depth", context.alias("context"), F.col("gram").bitwiseAND(255).alias("byte"), "n")
-        .groupBy("depth", "context", "byte")
-        .agg(F.sum("n").alias("n")),
-        "contexts",
-    )
-    positions = grams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    frequent = following.groupBy("depth", "context").agg(F.sum("n").alias("all"))
-    frequent = frequent.where((F.col("all") * NODES >= positions) | (F.col("depth") == 0)).drop("all")
-    rows = following.join(frequent, ["depth", "context"]).toArrow()
-    columns = [rows.column(c).to_numpy() for c in ("depth", "context", "byte", "n")]
-    contexts, counts = [], []
-    for d in range(DEPTH + 1):
-        _, context, byte, n = (c[columns[0] == d] for c in columns)
-        if d and not len(context):
-            break  # nor is there a longer one
-        known, at = np.unique(context, return_inverse=True)
-        table = np.zeros((max(len(known), int(d == 0)), 256))
-        table[at, byte] = n
-        contexts.append(known if d else np.zeros(1, np.int64))
-        counts.append(table)
-    return contexts, counts
+def _trained(batches):
+    """Of rows (root, grams, counts) by root: all grams of each root, with the weighted log probabilities of its
+    nodes (2^d - 1 + p for the prefix p of d bits) and the counts of the bytes that follow it."""
+    values, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    waiting, size = [], 0
+
+    def merged():
+        return _merged(
+            np.concatenate([values, *(v for v, _ in waiting)]), np.concatenate([counts, *(n for _, n in waiting)])
+        )
+
+    def weighed(values, counts):
+        starts, sizes = _by_root(values)
+        roots = values[starts] >> 24
+        of, nodes, logs = [], [], []
+        for bit, (_, first, weighted) in enumerate(subtrees(values, counts)):
+            of.append(values[first] >> 24)
+            nodes.append((1 << bit) - 1 + ((values[first] & 255) >> (8 - bit)))
+            logs.append(weighted)
+        of, nodes, logs = map(np.concatenate, (of, nodes, logs))
+        order = np.argsort(of, kind="stable")
+        follows, times = _merged(values >> 24 << 8 | values & 255, counts)
+        rows = common.batch(
+            _TRAINED,
+            [roots.astype(np.int32), _lists((values & 0xFFFFFF).astype(np.int32), sizes), _lists(counts, sizes),
+             _lists(nodes[order].astype(np.int32), np.bincount(np.searchsorted(roots, of), minlength=len(roots))),
+             _lists(logs[order], np.bincount(np.searchsorted(roots, of), minlength=len(roots))),
+             _lists((follows & 255).astype(np.int32), np.bincount(np.searchsorted(roots, follows >> 8), minlength=len(roots))),
+             _lists(times, np.bincount(np.searchsorted(roots, follows >> 8), minlength=len(roots)))],
+        )
+        yield from (rows.slice(at, common.BATCH_ROWS) for at in range(0, len(rows), common.BATCH_ROWS))
+
+    for rows in batches:
+        n = _flat(rows, "counts").astype(np.int64)
+        seen = n > 0
+        waiting.append((_grams_of(rows)[seen], n[seen]))
+        size += len(waiting[-1][1])
+        if size >= _ASKED:
+            values, counts = merged()
+            waiting, size = [], 0
+            # The last root may go on.
+            ended = np.searchsorted(values, values[-1] >> 24 << 24)
+            if ended:
+                yield from weighed(values[:ended], counts[:ended])
+                values, counts = values[ended:], counts[ended:]
+    values, counts = merged()
+    if len(values):
+        yield from weighed(values, counts)
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -247,6 +378,129 @@ def code_table(contexts: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np
     return below, np.concatenate(table)
 
 
+def shares(
+    contexts: list[np.ndarray], counts: list[np.ndarray], deeper: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, gathered, share): what the estimates of contexts above the roots add to the probability of a one at each
+    inner node, the share they leave to longer contexts, and the row of the longest known context by the last two bytes.
+
+    Arguments as for ``code_table``, all contexts held; ``deeper`` has the summed log probabilities of the longer
+    contexts of the deepest, by inner node."""
+    stop: list[np.ndarray] = []
+    below = deeper
+    for d in range(len(contexts) - 1, -1, -1):
+        own = _log_estimates(counts[d])
+        weighted = np.logaddexp(own, below) - np.log(2)
+        stop.insert(0, np.exp(own - np.log(2) - weighted).astype(np.float32))
+        if d:
+            up = np.searchsorted(contexts[d - 1], contexts[d] & ((1 << 8 * (d - 1)) - 1))
+            below = np.zeros((len(contexts[d - 1]), 255))
+            np.add.at(below, up, weighted)
+    rows = np.zeros(1 << 8 * (TOP - 1), np.int32)
+    known = np.arange(len(rows))
+    gathered, share = [np.zeros((1, 255), np.float32)], [np.ones((1, 255), np.float32)]
+    first = 0
+    for d in range(len(contexts)):
+        up = np.searchsorted(contexts[d - 1], contexts[d] & ((1 << 8 * (d - 1)) - 1)) if d else np.zeros(1, int)
+        gathered.append(gathered[-1][up] + share[-1][up] * stop[d] * _next_bits(counts[d]))
+        share.append(share[-1][up] * (1 - stop[d]))
+        at = np.minimum(np.searchsorted(contexts[d], known & ((1 << 8 * d) - 1)), len(contexts[d]) - 1)
+        rows = np.where(contexts[d][at] == known & ((1 << 8 * d) - 1), first + at, rows)
+        first += len(contexts[d])
+    return rows, np.concatenate(gathered[1:]), np.concatenate(share[1:])
+
+
+def top(trained: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``shares`` of the contexts above the roots. At most 256 rows by context of two bytes reach the driver."""
+    context = F.col("root").bitwiseAND((1 << 8 * (TOP - 1)) - 1).alias("context")
+
+    def dense(key, value, width):
+        each = trained.select(context, F.explode(F.arrays_zip(key, value)).alias("e"))
+        summed = each.groupBy("context", F.col(f"e.{key}").alias("at")).agg(F.sum(f"e.{value}").alias("sum")).toArrow()
+        of, at, total = (summed.column(c).to_numpy() for c in ("context", "at", "sum"))
+        known, row = np.unique(of.astype(np.int64), return_inverse=True)
+        out = np.zeros((len(known), width))
+        out[row, at] = total
+        return known, out
+
+    known, times = dense("bytes", "times", 256)
+    if not len(known):  # nothing to learn from
+        return shares([np.zeros(1, np.int64)], [np.zeros((1, 256))], np.zeros((1, 255)))
+    contexts, counts = [known], [times]
+    for d in range(TOP - 2, -1, -1):
+        shorter, row = np.unique(contexts[0] & ((1 << 8 * d) - 1), return_inverse=True)
+        table = np.zeros((len(shorter), 256))
+        np.add.at(table, row, counts[0])
+        contexts.insert(0, shorter)
+        counts.insert(0, table)
+    return shares(contexts, counts, dense("nodes", "logs", 255)[1])
+
+
+_PRICED = pa.schema([("block", pa.int64()), ("root", pa.int32()), ("grams", _INTS), ("logs", pa.list_(pa.float32()))])
+_PRICED_SPARK = "block long, root int, grams array<int>, logs array<float>"
+
+
+def _prices(grams: np.ndarray, n: np.ndarray, rows: np.ndarray, gathered: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Log10 probability of the byte of each gram after its context, of sorted distinct grams with training counts."""
+    row = rows[grams >> 24 & ((1 << 8 * (TOP - 1)) - 1)]
+    out = np.zeros(len(grams))
+    for bit, (one, _, _) in enumerate(subtrees(grams, n)):
+        node = (1 << bit) - 1 + ((grams & 255) >> (8 - bit))
+        p = np.clip(gathered[row, node] + share[row, node] * one, 1e-9, 1 - 1e-7)
+        out += np.log10(np.where(grams >> (7 - bit) & 1, p, 1 - p))
+    return out.astype(np.float32)
+
+
+def priced(asks: DataFrame, trained: DataFrame, above, partitions: int) -> DataFrame:
+    """(block, root, grams, logs): log10 probabilities of the grams that the blocks ask for."""
+    shared = asks.sparkSession.sparkContext.broadcast(above)
+
+    def of_batches(batches):
+        rows, gathered, share = shared.value
+        held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        waiting, size = [], 0
+
+        def answered():
+            nonlocal held
+            grams = np.concatenate([_grams_of(r) for r in waiting])
+            n = np.concatenate([_flat(r, "counts") for r in waiting])  # blocks have none
+            sizes = np.concatenate([np.diff(r.column("grams").offsets.to_numpy()) for r in waiting])
+            model = np.repeat(np.concatenate([r.column("block").to_numpy() for r in waiting]) < 0, sizes)
+            # A root's training counts come first; those of the last may serve further rows.
+            known = np.concatenate([held[0], grams[model]]), np.concatenate([held[1], n])
+            values, counts = _merged(
+                np.concatenate([known[0], grams[~model]]), np.concatenate([known[1], np.zeros((~model).sum())])
+            )
+            logs = _prices(values, counts, rows, gathered, share)
+            last = known[0] >> 24 == grams[-1] >> 24
+            held = known[0][last], known[1][last]
+            for r in waiting:
+                own = r.filter(pa.array(r.column("block").to_numpy() >= 0))
+                if len(own):
+                    found = logs[np.searchsorted(values, _grams_of(own))]
+                    yield common.batch(
+                        _PRICED,
+                        [own.column("block"), own.column("root"), own.column("grams"),
+                         _lists(found, np.diff(own.column("grams").offsets.to_numpy()))],
+                    )
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            waiting.append(batch)
+            size += len(batch.column("grams").flatten())
+            if size >= _ASKED:
+                yield from answered()
+                waiting, size = [], 0
+        if waiting:
+            yield from answered()
+
+    model = trained.select(F.lit(-1).cast("long").alias("block"), "root", "grams", "counts")
+    wanted = asks.select("block", "root", "grams", F.lit(None).cast("array<long>").alias("counts"))
+    dealt = model.unionByName(wanted).repartition(partitions, "root").sortWithinPartitions("root", "block")
+    return dealt.mapInArrow(of_batches, _PRICED_SPARK)
+
+
 def text_score(text: bytes, below: np.ndarray, table: np.ndarray, depth: int = DEPTH) -> float:
     """Log10 probability of a text and its end."""
     padded = np.frombuffer(b"\0" * depth + text + b"\0", np.uint8)
@@ -261,16 +515,61 @@ def text_score(text: bytes, below: np.ndarray, table: np.ndarray, depth: int = D
 
 
 _SCORED = pa.schema(
-    [("doc_id", pa.int64()), ("mark", pa.int64()), ("held_out", pa.bool_()), ("token", pa.binary()),
-     ("times", pa.int64()), ("whole", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+    [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
      ("n_bytes", pa.int64()), ("logs", pa.float64()), ("score", pa.float64())]
 )
 _SCORED_SPARK = (
-    "doc_id long, mark long, held_out boolean, token binary, times long, whole long, n_tokens long, "
-    "n_known long, n_bytes long, logs double, score double"
+    "doc_id long, held_out boolean, n_tokens long, n_known long, n_bytes long, logs double, score double"
 )
 
 
+def _scores(texts: list[bytes], grams: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """Log10 probabilities of texts and their ends, by sorted grams that hold all of theirs."""
+    found = [followed(text) for text in texts]
+    # Sorted by gram and text: equal grams are looked up once, and in order.
+    placed = np.concatenate(found).astype(np.uint64) << np.uint64(16)
+    placed |= np.repeat(np.arange(len(texts), dtype=np.uint64), [len(f) for f in found])
+    placed, n = np.unique(placed, return_counts=True)
+    at = np.searchsorted(grams, (placed >> np.uint64(16)).astype(np.int64))
+    return np.bincount((placed & np.uint64(0xFFFF)).astype(np.int64), n * logs[at].astype(np.float64), len(texts))
+
+
+def _scored(batches):
+    """Of one block after another, its tokens and grams (no text) before its texts."""
+    block, tokens, grams, logs, ordered = None, {}, [], [], False
+    for rows in batches:
+        blocks = rows.column("block").to_numpy()
+        for of in np.unique(blocks).tolist():
+            if of != block:
+                block, tokens, grams, logs, ordered = of, {}, [], [], False
+            own = rows.filter(pa.array(blocks == of))
+            known = own.filter(own.column("token").is_valid())
+            counts = np.log10(known.column("c").to_numpy(zero_copy_only=False) + 1.0).tolist()
+            tokens.update(zip(known.column("token").to_pylist(), counts, strict=True))
+            known = own.filter(own.column("root").is_valid())
+            if len(known):
+                grams.append(_grams_of(known))
+                logs.append(_flat(known, "logs"))
+            own = own.filter(own.column("text").is_valid())
+            if not len(own):
+                continue
+            if not ordered:
+                grams, logs = [np.concatenate(grams)], [np.concatenate(logs)]
+                order = np.argsort(grams[0], kind="stable")
+                grams, logs, ordered = [grams[0][order]], [logs[0][order]], True
+            texts = own.column("text").to_pylist()
+            out = []
+            for text in texts:
+                words = tokens_of(text)
+                found = [log for log in map(tokens.get, words) if log is not None]
+                out.append((len(words), len(found), len(text), sum(found)))
+            n_tokens, n_known, n_bytes, sums = map(list, zip(*out, strict=True))
+            value = _scores(texts, grams[0], logs[0])
+            yield common.batch(
+                _SCORED, [own.column("doc_id"), own.column("held_out"), n_tokens, n_known, n_bytes, sums, value]
+            )
+
+
 def score(docs: DataFrame, train) -> DataFrame:
     """Code lengths and unigram scores of every row of ``docs``, learnt from the rows that satisfy
     ``train``: doc_id, held_out (not ``train``), n_tokens, n_known, train_tokens, base_score, score,
@@ -279,62 +578,44 @@ def score(docs: DataFrame, train) -> DataFrame:
     Null texts are empty: one token, the end. With nothing to learn from, every byte costs eight
     bits. A null doc_id counts as empty text in the fold. Repeated rows give repeated results;
     other columns are ignored. An empty table gives an empty result."""
-    spark = docs.sparkSession
-    found = stored(counts(docs, train), "token-counts")
-    tokens = found.where("token IS NOT NULL").select("token", F.col("n").alias("c"))
-    total, distinct = tokens.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    below, table = code_table(*tree(found.where("gram IS NOT NULL").select("gram", "n")))
-    often = tokens.where(F.col("c") * SHARE >= F.lit(total)).toArrow()
-    common_logs = np.log10(often.column("c").to_numpy() + 1.0).tolist()
-    logs = dict(zip(often.column("token").to_pylist(), common_logs, strict=True))
-    shared = spark.sparkContext.broadcast((below, table, logs))
-
-    def scored(batches):
-        below, table, logs = shared.value
-        for rows in batches:
-            out = []
-            for doc_id, mark, held, text in zip(*(c.to_pylist() for c in rows.columns), strict=True):
-                times = Counter(tokens_of(text))
-                known, sum_logs, rare = 0, 0.0, []
-                for token, n in times.items():
-                    log = logs.get(token)
-                    if log is None:
-                        rare.append((doc_id, mark, None, token, n, 0, 0, 0, 0, 0.0, 0.0))
-                    else:
-                        known += n
-                        sum_logs += n * log
-                # The document itself, under a key that is no token and spreads.
-                own = b" %d %d" % (doc_id or 0, mark)
-                value = text_score(text, below, table)
-                out.append(
-                    (doc_id, mark, held, own, 0, 1, times.total(), known, len(text), sum_logs, value)
-                )
-                out += rare
-            if out:
-                yield common.batch(_SCORED, [list(c) for c in zip(*out, strict=True)])
-
-    text = F.coalesce(F.col("text"), F.lit(""))
+    common.small_batches(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("long"),
-        F.xxhash64(text).alias("mark"),
         (~F.coalesce(train, F.lit(False))).alias("held_out"),
-        text.cast("binary").alias("text"),
+        common.utf8(F.col("text")).alias("text"),
+        F.spark_partition_id().alias("part"),
     )
-    parts = rows.mapInArrow(scored, _SCORED_SPARK).join(tokens, "token", "left")
-    # Rows that agree in id and text are summed together and dealt out again.
-    share = lambda c: F.sum(c) / F.sum("whole")
-    whole = lambda c: F.floor(F.sum(c) / F.sum("whole") + 0.5).cast("long")
-    summed = parts.groupBy("doc_id", "mark").agg(
-        F.sum("whole").cast("int").alias("rows"),
-        F.max("held_out").alias("held_out"),
-        whole("n_tokens").alias("n_tokens"),
-        whole(F.col("n_known") + F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("n_known"),
-        whole("n_bytes").alias("n_bytes"),
-        share(F.col("logs") + F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("logs"),
-        share("score").alias("score"),
+    rows = stored(rows.mapInArrow(_dealt, _DEALT_SPARK), "blocks")
+    part, run = F.col("block").bitwiseAND((1 << 32) - 1), F.shiftright("block", 32)
+    blocks, parts = rows.agg(F.countDistinct("block"), F.coalesce(F.max(part) + 1, F.lit(1))).first()
+    blocks = blocks or 1
+    asked = rows.select("block", (~F.col("held_out")).alias("train"), "text").mapInArrow(_asked, _ASKS_SPARK)
+    asked = stored(asked, "asked")
+
+    # Windows, not a join: a token has a row for each block that holds it.
+    alike = Window.partitionBy("token")
+    tokens = asked.where("token IS NOT NULL").select(
+        "block",
+        "token",
+        F.sum("n").over(alike).alias("c"),
+        F.row_number().over(alike.orderBy("block")).alias("nth"),
+    )
+    tokens = stored(tokens.where("c > 0"), "token-counts")
+    total, distinct = tokens.where("nth = 1").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+
+    asks = asked.where("root IS NOT NULL").select("block", "root", "grams", "counts")
+    rooted = asks.repartition(blocks, "root").sortWithinPartitions("root").select("root", "grams", "counts")
+    trained = stored(rooted.mapInArrow(_trained, _TRAINED_SPARK), "contexts")
+    answers = priced(asks, trained, top(trained), blocks)
+
+    given = (
+        rows.unionByName(tokens.select("block", "token", "c"), allowMissingColumns=True)
+        .unionByName(answers, allowMissingColumns=True)
+        .repartitionById(blocks, F.pmod(part + run * parts, F.lit(blocks)).cast("int"))
+        .sortWithinPartitions("block", F.col("text").isNotNull())
     )
     floor = float(np.log10(total + distinct + 1))
-    return summed.select(
+    return given.mapInArrow(_scored, _SCORED_SPARK).select(
         "doc_id",
         "held_out",
         "n_tokens",
@@ -343,8 +624,7 @@ def score(docs: DataFrame, train) -> DataFrame:
         (F.col("logs") - F.col("n_tokens") * floor).alias("base_score"),
         "score",
         (-F.col("score") * float(np.log2(10)) / (F.col("n_bytes") + 1)).alias("bits_per_byte"),
-        F.explode(F.expr("sequence(1, rows)")).alias("nth"),
-    ).drop("nth")
+    )
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -214,6 +214,41 @@ def test_context_tree_learns_and_takes_odd_input(spark):
     assert contexttree.query(empty(spark)).count() == 0
 
 
+def whole_tree(texts):
+    """Every context of the texts and its counts, by depth."""
+    contexts, counts = [], []
+    for depth in range(contexttree.DEPTH + 1):
+        follows = Counter()
+        for text in texts:
+            padded = b"\0" * depth + text + b"\0"
+            follows.update((int.from_bytes(padded[i : i + depth]), padded[i + depth]) for i in range(len(text) + 1))
+        known = sorted({c for c, _ in follows})
+        table = np.zeros((len(known), 256))
+        for (context, byte), n in follows.items():
+            table[known.index(context), byte] = n
+        contexts.append(np.array(known, np.int64))
+        counts.append(table)
+    return contexts, counts
+
+
+@pytest.mark.parametrize(("block", "asked"), [(1 << 25, 1 << 20), (900, 64)])
+def test_context_tree_holds_every_context(spark, block, asked, monkeypatch):
+    monkeypatch.setattr(contexttree, "BLOCK", block)
+    monkeypatch.setattr(contexttree, "_ASKED", asked)
+    # The common text has more than 32,768 positions for each of the rare contexts.
+    rows = [(i, "ab" * 9000, "en", "a") for i in range(6)]
+    rows += [(10 + i, f"rare\u00e9 text {i % 7}, seen {i}", "en", "a") for i in range(20)]
+    rows += [(100, "rare\u00e9 text 3, seen 99 times", "en", "a"), (101, "\u4e2d quite new", "en", "a"), (102, None, "en", "a")]
+    rows += [(103, "rare again", "en", "a")] * 2
+    below, table = contexttree.code_table(*whole_tree([r[1].encode() for r in rows[:26]]))
+    found = contexttree.score(docs_of(spark, rows), F.col("doc_id") < 100).collect()
+    want = [(r[0], contexttree.text_score((r[1] or "").encode(), below, table)) for r in rows]
+    assert sorted(r.doc_id for r in found) == sorted(r[0] for r in rows)
+    want = dict(want)
+    for r in found:
+        assert r.score == pytest.approx(want[r.doc_id], rel=1e-4), r.doc_id
+
+
 def brute_rules(text):
     words = [w for w in __import__("re").split("[\x20\x09-\x0d]+", text or "") if w]
     windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
