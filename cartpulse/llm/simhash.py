@@ -29,7 +29,11 @@ together, whose share of differing bits measures the similarity of the texts.
 * All pairs of a bucket of up to ``MEMBERS`` texts are compared. In a larger one every text is compared
   with the smallest, and all are filed again under two keys, and where these are crowded too
   under three. Of pairs at 0.8 that meet in crowded buckets only, 0.986 share two such keys
-  and 0.76 three. The work is linear in the number of texts, whatever the buckets hold.
+  and 0.76 three. This work is linear in the number of texts, whatever the buckets hold.
+* What these pairs leave apart in a crowded bucket is compared in full (``apart``): every pair of its texts that is
+  not yet in one component, in tiles of ``TILE`` texts a side. So any two texts that share a key and pass
+  the verification end in one component. Texts of the bucket's largest component are not compared with each other, so a group
+  of near copies costs its size times the texts outside it.
 """
 
 import math
@@ -52,6 +56,7 @@ PIVOTS = 32
 CROWD = 8
 BANDS, ROWS = 24, 5
 MEMBERS = 16
+TILE = 1024
 _LANES = np.uint64(0x0101010101010101)
 _FLIPS, _FACTORS = np.random.default_rng(SEED).integers(1 << 63, size=(2, BANDS * ROWS, 1), dtype="<u8") * 2 + 1
 
@@ -225,24 +230,59 @@ def candidates(texts: DataFrame) -> DataFrame:
     return pairs.unionByName(more).unionByName(last).distinct()
 
 
-def _alike(pairs: DataFrame, texts: DataFrame, tables: int, similarity: float) -> DataFrame:
-    """Edges (a, b) of first fingerprints for the pairs (a, b) of texts (sign, fp, prints) whose
-    fingerprints differ in no more bits than those of texts of this similarity do, and one
-    standard deviation.
+def most_bits(tables: int, similarity: float) -> float:
+    """Bits in which the fingerprints of texts of this similarity differ, and one standard deviation.
 
     Sets of shingles of Jaccard similarity s and like size have the cosine 2s / (1 + s); the
     share of differing bits is the angle over pi."""
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
     bits = 64 * tables
-    limit = bits * share + math.sqrt(bits * share * (1 - share))
+    return bits * share + math.sqrt(bits * share * (1 - share))
+
+
+def _alike(pairs: DataFrame, texts: DataFrame, tables: int, similarity: float) -> DataFrame:
+    """Edges (a, b) of first fingerprints for the pairs (a, b) of texts (sign, fp, prints) whose
+    fingerprints differ in no more than ``most_bits``."""
     a, b = (texts.select(F.col("sign").alias(x), F.col("fp").alias(f"fp_{x}"), F.col("prints").alias(f"of_{x}")) for x in "ab")
     differing = F.aggregate(
         F.zip_with("of_a", "of_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, d: n + d
     )
-    near = pairs.join(a, "a").join(b, "b").where((F.col("fp_a") != F.col("fp_b")) & (differing <= limit))
+    near = pairs.join(a, "a").join(b, "b").where((F.col("fp_a") != F.col("fp_b")) & (differing <= most_bits(tables, similarity)))
     return near.select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
 
 
+def apart(texts: DataFrame, roots: DataFrame, tables: int, similarity: float) -> DataFrame:
+    """Edges (a, b) of the components (fp, root) so far: enough to connect all texts (sign, fp, prints, bands)
+    that share a MinHash key in a bucket of more than ``MEMBERS`` and differ in at most ``most_bits``.
+
+    The texts of a bucket outside its largest component are compared with all of it that are in other components."""
+    of_texts = stored(texts.join(roots, "fp").select("sign", "root", "prints", "bands"), "rooted-texts")
+    filed = of_texts.select("sign", "root", F.explode("bands").alias("key"))
+    kinds = filed.groupBy("key", "root").agg(F.count("*").alias("n"))
+    buckets = kinds.groupBy("key").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("kinds")
+    )
+    mixed = buckets.where((F.col("n") > MEMBERS) & (F.col("kinds") > 1)).select(
+        "key",
+        F.col("main.root").alias("main"),
+        F.ceil(F.col("n") / TILE).cast("int").alias("wide"),
+        F.ceil((F.col("n") - F.col("main.n")) / TILE).cast("int").alias("high"),
+    )
+    met = stored(filed.join(stored(mixed, "mixed"), "key"), "met").join(of_texts.select("sign", "prints"), "sign")
+    part = lambda n: F.pmod(F.xxhash64("sign"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    a = met.where("root <> main").select(
+        "key", "main", part("high").alias("i"), every("wide").alias("j"), *(F.col(c).alias(f"{c}_a") for c in ("sign", "root", "prints"))
+    )
+    b = met.select(
+        "key", every("high").alias("i"), part("wide").alias("j"), *(F.col(c).alias(f"{c}_b") for c in ("sign", "root", "prints"))
+    )
+    bits = [F.bit_count(F.get("prints_a", F.lit(t)).bitwiseXOR(F.get("prints_b", F.lit(t)))) for t in range(tables)]
+    once = (F.col("root_b") == F.col("main")) | (F.col("sign_a") < F.col("sign_b"))
+    near = (F.col("root_a") != F.col("root_b")) & once & (sum(bits[1:], bits[0]) <= most_bits(tables, similarity))
+    return a.join(b, ["key", "i", "j"]).where(near).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, tables: int = 1, similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -279,6 +319,12 @@ def near_duplicates(
     rooted = classes.join(connected(edges).withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
+    if tables > 1:
+        rooted = stored(rooted, "rooted")
+        more = connected(apart(texts, rooted.select("fp", "root"), tables, similarity)).select(
+            F.col("node").alias("root"), F.col("root").alias("next")
+        )
+        rooted = rooted.join(more, "root", "left").select("fp", "first", F.coalesce("next", "root").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     components = rooted.join(ids, "root").select("fp", "root", "component_id")
     return rows.join(components, "fp").select("doc_id", "mark", "fp", "root", "component_id")

@@ -130,6 +130,22 @@ def test_pairs_of_similarity_four_fifths_are_candidates(spark, shared, members,
     assert sum(found[2 * g] == found[2 * g + 1] for g in range(pairs)) >= 0.8 * pairs
 
 
+@pytest.mark.parametrize("tile", [5, 1024])
+def test_crowded_buckets_leave_no_near_texts_apart(spark, tile, monkeypatch):
+    """Forty texts in the same buckets, whatever keys are put together; two of them are near, neither is the smallest."""
+    monkeypatch.setattr(simhash, "TILE", tile, raising=False)
+    rng = random.Random(9)
+    signed = lambda p: p - (1 << 64) if p >> 63 else p
+    prints = [[rng.getrandbits(64) for _ in range(16)] for _ in range(39)]
+    prints.append([p ^ sum(1 << i for i in rng.sample(range(64), 5)) for p in prints[20]])
+    rows = [(i, i, *map(signed, p), list(range(24))) for i, p in enumerate(prints)]
+    names = ", ".join(["fp long", *(f"fp{t} long" for t in range(1, 16))])
+    frame = spark.createDataFrame(rows, f"doc_id long, mark long, {names}, bands array<long>")
+    monkeypatch.setattr(simhash, "fingerprints", lambda *_: frame)
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(empty(spark), 5, 16).collect()}
+    assert found == {i: 20 if i == 39 else i for i in range(40)}
+
+
 def test_lines_equal_sql(spark):
     connection = duckdb.connect()
     connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
